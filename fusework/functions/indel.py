@@ -85,14 +85,21 @@ def pairwise_lcs(a, b, batch: int = 4096) -> np.ndarray:
     return result
 
 
+def ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """Indel ratio of each pair; two empty texts are equal."""
+    length = np.array([len(x) + len(y) for x, y in zip(a, b)], dtype="float64")
+    lcs = pairwise_lcs(a, b)
+    return np.where(length > 0, 200.0 * lcs / np.maximum(length, 1), 100.0)
+
+
+def sort_tokens(text: str) -> str:
+    return " ".join(sorted(text.split()))
+
+
 def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
     both = a.notna() & b.notna()
-    left, right = a[both].tolist(), b[both].tolist()
     out = pd.Series(np.nan, index=a.index, dtype="float64")
-    if left:
-        length = np.array([len(x) + len(y) for x, y in zip(left, right)], dtype="float64")
-        lcs = pairwise_lcs(left, right)
-        out[both] = np.where(length > 0, 200.0 * lcs / np.maximum(length, 1), 100.0)
+    out[both] = ratios(a[both].tolist(), b[both].tolist())
     return out
 
 

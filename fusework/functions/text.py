@@ -33,6 +33,14 @@ def _accent_table() -> tuple[str, str]:
     return "".join(letters + marks), "".join(bases)
 
 
+# everything that counts as blank at the ends of a text
+_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(_BLANKS))
+
+
 def strip_accents(text: Column) -> Column:
     source, target = _accent_table()
     return F.translate(text, source, target)
@@ -69,7 +77,7 @@ def title_case(text: Column) -> Column:
 
 
 def normalize_genre(genre: Column) -> Column:
-    original = F.trim(genre)
+    original = strip(genre)
     key = F.regexp_replace(F.lower(strip_accents(original)), r"[^a-z0-9\s\-]", " ")
     table = F.create_map(*[F.lit(x) for pair in GENRE_MAP.items() for x in pair])
     return F.coalesce(F.element_at(table, _collapse(key)), title_case(original))
@@ -86,16 +94,16 @@ def normalize_genres(genres: Column) -> Column:
 
 
 def clean_code(text: Column) -> Column:
-    return F.lower(F.trim(text))
+    return F.lower(strip(text))
 
 
 def fill_blank_text(text: Column) -> Column:
-    return F.trim(F.coalesce(text, F.lit("")))
+    return strip(F.coalesce(text, F.lit("")))
 
 
 def block_key_first_letter(key: Column) -> Column:
-    return _blank_to_null(F.substring(F.trim(key), 1, 1))
+    return _blank_to_null(F.substring(strip(key), 1, 1))
 
 
 def main_title_token(key: Column) -> Column:
-    return _blank_to_null(F.split(F.trim(key), r"\s+")[0])
+    return _blank_to_null(F.split(strip(key), r"\s+")[0])

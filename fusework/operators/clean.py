@@ -15,9 +15,8 @@ def optional(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
-def observed_flags(prefix: str, raw: Column) -> list[Column]:
-    """Value, was_zero, parse_status, missing and observed columns of a money field."""
-    money = P.parse_money(raw.cast("string"))
+def observed_flags(prefix: str, money: Column) -> list[Column]:
+    """Value, was_zero, parse_status, missing and observed columns of a parsed money field."""
     value = money["value"]
     return [
         value.alias(f"{prefix}_usd"),
@@ -28,89 +27,121 @@ def observed_flags(prefix: str, raw: Column) -> list[Column]:
     ]
 
 
-def _genre_columns(raw: Column, name: str) -> list[Column]:
-    genres = X.normalize_genres(parse_list_field(raw))
-    return [genres.alias(name), (genres == F.array(F.lit(UNKNOWN))).alias("genres_missing")]
+def _genres_missing(name: str) -> Column:
+    return (F.col(name) == F.array(F.lit(UNKNOWN))).alias("genres_missing")
 
 
 def clean_catalog_a(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Source A, one row per id. ``row_id`` must be unique."""
-    one = dedup_by_key(raw, "id", "row_id")
-    date = P.parse_date(F.col("release_date").cast("string"))
-    year = F.year(date)
-    title = X.normalize_title(F.col("title"))
-    runtime = P.runtime_range_guard(F.col("runtime"), settings)
-    votes = P.zero_vote_guard(F.col("vote_average"), F.col("vote_count"), settings)
-    popularity = P.numeric_coerce(F.col("popularity"))
+    """Source A, one row per id. ``row_id`` must be unique.
+
+    Parsers run in a first projection, their fields are taken in a second: Spark keeps the two
+    apart, so no text is parsed twice.
+    """
     a = settings.source_a
-    return one.select(
+    one = dedup_by_key(raw, "id", "row_id")
+    parsed = one.select(
         F.col("row_id").alias("a_row_id"),
         F.col("id").cast("string").alias(f"{a}_id"),
-        F.trim("title").alias(f"title_display_{a}"),
-        title.alias("title_norm"),
-        title.isNull().alias("title_missing"),
-        date.alias("release_date"),
+        X.strip(F.col("title")).alias("title"),
+        X.normalize_title(F.col("title")).alias("title_norm"),
+        P.parse_date(F.col("release_date").cast("string")).alias("release_date"),
+        F.col("runtime").cast("string").alias("runtime_raw"),
+        P.numeric_coerce(F.col("runtime")).alias("runtime"),
+        P.parse_money(F.col("budget").cast("string")).alias("budget"),
+        P.parse_money(F.col("revenue").cast("string")).alias("revenue"),
+        P.numeric_coerce(F.col("vote_average")).alias("rating"),
+        P.numeric_coerce(F.col("vote_count")).alias("votes"),
+        P.numeric_coerce(F.col("popularity")).alias("popularity"),
+        X.normalize_genres(parse_list_field(F.col("genre_names"))).alias("genres"),
+        join_list(parse_list_field(optional(one, "production_company_names"))).alias("production_companies"),
+        join_list(parse_list_field(optional(one, "origin_country"))).alias("origin_country_clean"),
+        X.clean_code(optional(one, "original_language")).alias("original_language_clean"),
+        optional(one, "adult").alias("adult"),
+    )
+    year = F.year("release_date")
+    runtime = P.runtime_range_guard(F.col("runtime"), settings)
+    votes = P.zero_vote_guard(F.col("rating"), F.col("votes"), settings)
+    return parsed.select(
+        "a_row_id",
+        f"{a}_id",
+        F.col("title").alias(f"title_display_{a}"),
+        "title_norm",
+        F.col("title_norm").isNull().alias("title_missing"),
+        "release_date",
         year.alias("release_year"),
         P.decade(year).alias("release_decade"),
         year.isNull().alias("year_missing"),
         P.year_out_of_range(year, settings).alias("year_out_of_range"),
-        F.col("runtime").cast("string").alias("runtime_raw"),
+        "runtime_raw",
         runtime["minutes"].alias("runtime_min"),
         runtime["was_zero"].alias("runtime_was_zero"),
         runtime["out_of_range"].alias("runtime_out_of_range"),
         runtime["missing"].alias("runtime_missing"),
         *observed_flags("budget", F.col("budget")),
         *observed_flags("revenue", F.col("revenue")),
-        P.numeric_coerce(F.col("vote_average")).alias(f"vote_average_{a}_raw"),
-        votes["votes"].alias(f"vote_count_{a}"),
+        F.col("rating").alias(f"vote_average_{a}_raw"),
+        F.col("votes").alias(f"vote_count_{a}"),
         votes["votes_zero"].alias("vote_count_zero"),
         votes["rating_zero"].alias("vote_average_zero"),
         votes["rating"].alias(f"vote_average_{a}"),
         votes["rating"].isNull().alias("rating_missing"),
-        popularity.alias(f"popularity_{a}"),
-        F.coalesce(popularity == 0, F.lit(False)).alias("popularity_zero"),
-        *_genre_columns(F.col("genre_names"), f"genres_list_{a}"),
-        join_list(parse_list_field(optional(one, "production_company_names"))).alias("production_companies"),
-        join_list(parse_list_field(optional(one, "origin_country"))).alias("origin_country_clean"),
-        X.clean_code(optional(one, "original_language")).alias("original_language_clean"),
-        optional(one, "adult").alias("adult"),
+        F.col("popularity").alias(f"popularity_{a}"),
+        F.coalesce(F.col("popularity") == 0, F.lit(False)).alias("popularity_zero"),
+        F.col("genres").alias(f"genres_list_{a}"),
+        _genres_missing("genres"),
+        "production_companies",
+        "origin_country_clean",
+        "original_language_clean",
+        "adult",
     )
 
 
 def clean_catalog_b(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Source B, the best row per title and year. ``row_id`` must be unique."""
-    title = X.normalize_title(F.col("movie_title"))
-    repaired = P.repair_negative_year(F.col("year"))
-    year = repaired["year"]
-    runtime = P.parse_runtime(F.col("run_time").cast("string"), settings)
-    rating = P.rating_range_guard(F.col("rating"), settings)
     b = settings.source_b
-    keywords, cast = X.fill_blank_text(F.col("plot_kyeword")), X.fill_blank_text(F.col("top_5_casts"))
-    cleaned = raw.select(
+    parsed = raw.select(
         F.col("row_id").alias("b_row_id"),
-        F.trim("path").alias(f"{b}_path"),
-        F.trim("movie_title").alias(f"title_display_{b}"),
-        title.alias("title_norm"),
-        title.isNull().alias("title_missing"),
+        X.strip(F.col("path")).alias(f"{b}_path"),
+        X.strip(F.col("movie_title")).alias("title"),
+        X.normalize_title(F.col("movie_title")).alias("title_norm"),
         P.numeric_coerce(F.col("year")).alias("year_raw"),
+        P.parse_runtime(F.col("run_time").cast("string"), settings).alias("runtime"),
+        P.numeric_coerce(F.col("rating")).alias("rating"),
+        P.parse_count_suffix(F.col("user_rating").cast("string")).alias("votes"),
+        X.normalize_genres(parse_list_field(F.col("generes"))).alias("genres"),
+        *[X.fill_blank_text(F.col(c)).alias(c) for c in ("overview", "director", "writer")],
+        X.fill_blank_text(F.col("plot_kyeword")).alias("keywords"),
+        X.fill_blank_text(F.col("top_5_casts")).alias("cast"),
+    )
+    repaired = P.repair_negative_year(F.col("year_raw"))
+    year = repaired["year"]
+    rating = P.rating_range_guard(F.col("rating"), settings)
+    cleaned = parsed.select(
+        "b_row_id",
+        f"{b}_path",
+        F.col("title").alias(f"title_display_{b}"),
+        "title_norm",
+        F.col("title_norm").isNull().alias("title_missing"),
+        "year_raw",
         repaired["was_negative"].alias("year_was_negative"),
         year.alias("release_year"),
         year.isNull().alias("year_missing"),
         P.year_out_of_range(year, settings).alias("year_out_of_range"),
         P.first_day_of_year(year).alias("release_date"),
         P.decade(year).alias("release_decade"),
-        runtime["minutes"].alias("runtime_min"),
-        runtime["status"].alias("runtime_parse_status"),
-        runtime["minutes"].isNull().alias("runtime_missing"),
+        F.col("runtime.minutes").alias("runtime_min"),
+        F.col("runtime.status").alias("runtime_parse_status"),
+        F.col("runtime.minutes").isNull().alias("runtime_missing"),
         rating.alias(f"rating_{b}"),
         rating.isNull().alias("rating_missing"),
-        P.parse_count_suffix(F.col("user_rating").cast("string")).alias(f"user_rating_count_{b}"),
-        *_genre_columns(F.col("generes"), f"genres_list_{b}"),
-        X.fill_blank_text(F.col("overview")).alias("overview"),
-        X.fill_blank_text(F.col("director")).alias("director"),
-        X.fill_blank_text(F.col("writer")).alias("writer"),
-        keywords.alias("keywords"),
-        cast.alias("cast"),
+        F.col("votes").alias(f"user_rating_count_{b}"),
+        F.col("genres").alias(f"genres_list_{b}"),
+        _genres_missing("genres"),
+        "overview",
+        "director",
+        "writer",
+        "keywords",
+        "cast",
     )
     evidence = [F.col(f"rating_{b}").isNotNull(), F.col("runtime_min").isNotNull(), F.col("overview") != ""]
     return dedup_best_record(cleaned, ["title_norm", "release_year"], evidence, "b_row_id")

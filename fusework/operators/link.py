@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
 from fusework.functions import similarity as S
-from fusework.functions.indel import TokenSetBlock, indel_ratio, token_sort_ratio
+from fusework.functions.indel import TokenSetBlock, ratios, sort_tokens
 from fusework.functions.text import block_key_first_letter, main_title_token
 from fusework.operators.dedup import keep_first
 
@@ -160,37 +160,38 @@ def block_candidates(a: DataFrame, b: DataFrame) -> DataFrame:
     return block_sizes(a, b).withColumn("n_pairs", F.col("rows_a") * F.col("rows_b"))
 
 
-_SCORES = "b_key string, b_year int, a_row_id bigint, token_set double"
+_SCORES = (
+    "b_key string, b_year int, a_row_id bigint, token_set double, token_sort double, ratio double"
+)
 
 
 def _score_block(limit: int):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         """The best ``limit`` A rows for every B title of one bounded piece of a block."""
-        keys, years, ids, scores = [], [], [], []
-        if left.num_rows and right.num_rows:
-            titles = left["title_norm"].to_pylist()
+        best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        queries = right["b_key"].to_pylist() if left.num_rows else []
+        titles = left["title_norm"].to_pylist()
+        row_ids = left["row_id"].to_numpy()
+        if queries:
             distinct = sorted(set(titles))
             place = {t: i for i, t in enumerate(distinct)}
             of = np.array([place[t] for t in titles])
-            row_ids = left["row_id"].to_numpy()
             block = TokenSetBlock(distinct)
-            best: dict[str, tuple[list, list]] = {}
-            for key, year in zip(right["b_key"].to_pylist(), right["b_year"].to_pylist()):
-                if key not in best:
-                    values = block.scores(key)[of]
-                    # score first, smallest id among equals
-                    order = np.lexsort((row_ids, -values))[:limit]
-                    best[key] = row_ids[order].tolist(), values[order].tolist()
-                top_ids, top_scores = best[key]
-                keys += [key] * len(top_ids)
-                years += [year] * len(top_ids)
-                ids += top_ids
-                scores += top_scores
+            for key in set(queries):
+                values = block.scores(key)[of]
+                # score first, smallest id among equals
+                order = np.lexsort((row_ids, -values))[:limit]
+                best[key] = order, values[order]
+        rows = [(k, y, i, v) for k, y in zip(queries, right["b_year"].to_pylist()) for i, v in zip(*best[k])]
+        keys = [r[0] for r in rows]
+        found = [titles[r[2]] for r in rows]
         return pa.table({
             "b_key": pa.array(keys, pa.string()),
-            "b_year": pa.array(years, pa.int32()),
-            "a_row_id": pa.array(ids, pa.int64()),
-            "token_set": pa.array(scores, pa.float64()),
+            "b_year": pa.array([r[1] for r in rows], pa.int32()),
+            "a_row_id": pa.array([int(row_ids[r[2]]) for r in rows], pa.int64()),
+            "token_set": pa.array([float(r[3]) for r in rows], pa.float64()),
+            "token_sort": pa.array(ratios([sort_tokens(k) for k in keys], [sort_tokens(t) for t in found])),
+            "ratio": pa.array(ratios(keys, found)),
         })
 
     return score
@@ -257,8 +258,8 @@ def fuzzy_candidates(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS)
         *[f"a_{c}" for c in rest],
         *[f"b_{c}" for c in rest],
         "token_set",
-        token_sort_ratio(F.col("b_title_norm"), F.col("a_title_norm")).alias("token_sort"),
-        indel_ratio(F.col("b_title_norm"), F.col("a_title_norm")).alias("ratio"),
+        "token_sort",
+        "ratio",
     )
 
 
