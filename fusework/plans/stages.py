@@ -30,6 +30,18 @@ class CatalogRun:
         self.layers, self.isolation = tuple(layers), isolation
         self._tables: dict[str, DataFrame] = {}
 
+    def variant(self, name: str, **changes) -> CatalogRun:
+        """A run over the same cleaned sources with other layers or settings."""
+        other = CatalogRun(
+            self.raw_a, self.raw_b, StageStore(self.store.spark, self.store.path(name)),
+            changes.get("settings", self.settings), changes.get("layers", self.layers),
+            changes.get("isolation", self.isolation),
+        )
+        self.links
+        for shared in ("clean_a", "clean_b", "link_a", "link_b"):
+            other._tables[shared] = self._tables[shared]
+        return other
+
     def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.store.save(build(), name)
