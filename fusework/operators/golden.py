@@ -192,23 +192,27 @@ def build_b_only(clean_b: DataFrame, strong: DataFrame, settings: Settings = DEF
 
 
 def assign_master_id(
-    df: DataFrame, parts: list[str], part: str, order: str, name: str, slices: int = 256
+    df: DataFrame,
+    parts: list[str],
+    part: str,
+    order: str,
+    name: str,
+    sketch_of: DataFrame | None = None,
+    slices: int = 64,
 ) -> DataFrame:
     """``M_0000001`` ... in the order of ``parts``, then of the unique integer ``order``.
 
-    The rank is the rank within a slice plus the exact sizes of the slices before it; sketched cut
-    points only make the slices even. No window spans the table.
+    The rank is the rank within a slice plus the exact sizes of the slices before it. The cut
+    points are a sketch of ``order`` (or of the cheaper ``sketch_of`` with the same column); they
+    only make the slices even. No window spans the table.
     """
-    cuts = df.agg(
-        F.percentile_approx(order, [i / slices for i in range(1, slices)], F.lit(10 * slices))
-    ).scalar()
-    place = F.array_position(F.array(*[F.lit(p) for p in parts]), F.col(part))
-    # the cut points are sorted: the slice is the number of them below the value
-    sliced = df.withColumn("__cuts", cuts).select(
-        *df.columns,
-        place.cast("int").alias("__part"),
-        F.size(F.filter("__cuts", lambda c: c < F.col(order))).alias("__slice"),
-    )
+    levels = [i / slices for i in range(1, slices)]
+    # a fixed number of cut points comes back
+    cuts = (sketch_of or df).agg(F.percentile_approx(order, levels, F.lit(100 * slices))).first()[0] or []
+    place = F.array_position(F.array(*[F.lit(p) for p in parts]), F.col(part)).cast("int")
+    below = F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col(order))
+    slot = F.size(below)
+    sliced = df.select(*df.columns, place.alias("__part"), slot.alias("__slice"))
     keys = ["__part", "__slice"]
     sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(
@@ -233,5 +237,8 @@ def golden_record(
         build_b_only(clean_b, strong, settings), allowMissingColumns=True
     )
     types = ["merged", f"{settings.source_a}_only", f"{settings.source_b}_only"]
-    numbered = assign_master_id(everything, types, "record_type", "source_row_id", "movie_master_id")
+    ids = clean_a.select(F.col("a_row_id").alias("source_row_id")).unionAll(clean_b.select("b_row_id"))
+    numbered = assign_master_id(
+        everything, types, "record_type", "source_row_id", "movie_master_id", sketch_of=ids
+    )
     return quality_scores(numbered, settings)

@@ -64,7 +64,7 @@ def _representatives(side: DataFrame, keys: Sequence[str], prefix: str, rest: Se
 def _audit(
     pairs: DataFrame, title_sim: Column, method: str, settings: Settings, score: Column | None = None
 ) -> DataFrame:
-    """The match audit columns of scored pairs."""
+    """The scored pairs with all audit columns but the status."""
     year_sim = S.year_similarity(F.col("a_release_year"), F.col("b_release_year"))
     runtime_sim = S.runtime_similarity(F.col("a_runtime_min"), F.col("b_runtime_min"))
     genre_sim = S.genre_set_similarity(F.col("a_genre_set"), F.col("b_genre_set"))
@@ -89,11 +89,11 @@ def _audit(
             F.col("title_similarity"), F.col("year_similarity"),
             F.col("runtime_similarity"), F.col("genre_similarity"), settings,
         )
-    return scored.withColumn("linkage_score", score).select(
-        "*",
-        F.lit(method).alias("match_method"),
-        S.classify_match(F.col("linkage_score"), settings).alias("match_status"),
-    )
+    return scored.select("*", score.alias("linkage_score"), F.lit(method).alias("match_method"))
+
+
+def _with_status(matches: DataFrame, settings: Settings) -> DataFrame:
+    return matches.withColumn("match_status", S.classify_match(F.col("linkage_score"), settings))
 
 
 def resolve_one_to_one(matches: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def match_exact(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> Da
     pairs = pairs.withColumn("a_release_year", F.col("release_year")).withColumn(
         "b_release_year", F.col("release_year")
     )
-    return _audit(pairs, F.lit(100.0), "exact_title_year", settings, score=F.lit(100.0))
+    return _with_status(_audit(pairs, F.lit(100.0), "exact_title_year", settings, score=F.lit(100.0)), settings)
 
 
 def match_year_pm1(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -137,7 +137,8 @@ def match_year_pm1(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) ->
         "b_row_id", "b_ext_id", "b_title_display",
     ).withColumnRenamed("near_year", "release_year")
     pairs = left.join(right, ["title_norm", "release_year"])
-    return resolve_one_to_one(_audit(pairs, F.lit(100.0), "exact_title_year_pm1", settings))
+    scored = _audit(pairs, F.lit(100.0), "exact_title_year_pm1", settings)
+    return _with_status(resolve_one_to_one(scored), settings)
 
 
 def _near_years(column: str) -> Column:
@@ -264,10 +265,15 @@ def fuzzy_candidates(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS)
 
 
 def match_fuzzy_blocked(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Candidates scored, resolved, and cut at the lowest class.
+
+    The resolution prefers higher scores, so a pair below the cut never displaces one above it and
+    the cut may come last, where it is a plain comparison on few rows.
+    """
     pairs = fuzzy_candidates(a, b, settings)
     title_sim = F.greatest("token_set", "token_sort", "ratio")
-    scored = _audit(pairs, title_sim, "fuzzy_blocked", settings)
-    return resolve_one_to_one(scored.where(F.col("match_status") != "no_match"))
+    resolved = resolve_one_to_one(_audit(pairs, title_sim, "fuzzy_blocked", settings))
+    return _with_status(resolved, settings).where(F.col("linkage_score") >= settings.score_manual)
 
 
 LAYERS: dict[str, Callable[[DataFrame, DataFrame, Settings], DataFrame]] = {

@@ -82,7 +82,8 @@ def profitability_models(
     columns = [c for c in prepared.columns if c not in (key, "target")]
     fitted = _fit_all(split, columns, {
         "RandomForest": RandomForestClassifier(
-            labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth, seed=settings.seed
+            labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
+            seed=settings.seed, maxMemoryInMB=1024,  # more tree nodes per pass over the data
         ),
         # the unscaled penalty of one unit of inverse strength
         "LogisticRegression": LogisticRegression(
@@ -123,7 +124,8 @@ def revenue_models(
     columns = [c for c in prepared.columns if c not in (key, "target")]
     fitted = _fit_all(split, columns, {
         "RandomForestRegressor": RandomForestRegressor(
-            labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth, seed=settings.seed
+            labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
+            seed=settings.seed, maxMemoryInMB=1024,  # more tree nodes per pass over the data
         ),
         "GradientBoosting": GBTRegressor(
             labelCol="target", maxIter=100, maxDepth=3, stepSize=0.1, seed=settings.seed

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fusework.config import DEFAULTS, Settings
 from fusework.operators.dedup import keep_first
 from fusework.operators.quantiles import exact_quantiles
+from fusework.session import spread
 
 IQR_COLUMNS = ("runtime_min", "budget_usd", "revenue_usd", "popularity_tmdb", "vote_count_tmdb", "roi")
 ISO_FEATURES = (
@@ -134,17 +135,24 @@ def isolation_nodes(rows: DataFrame, n_rows: int, settings: Settings = DEFAULTS)
     """The trees as a node table.
 
     Every tree draws its rows by a hash of (seed, tree, key), so partitioning and retries do not
-    change the sample. The filter inside the row lets only drawn rows reach the shuffle.
+    change the sample, and only drawn rows reach the shuffle.
     """
     features = [c for c in rows.columns if c != "key"]
-    share = min(1.0, 2.0 * settings.iso_sample / max(n_rows, 1))
-    limit = int(share * 1_000_000_000)
-    draw = lambda t: F.pmod(F.xxhash64(F.lit(settings.seed), t, F.col("key")), F.lit(1_000_000_007))
+    top = 1_000_003
+
+    def draw(salt: Column, key: str = "key") -> Column:
+        return F.pmod(F.xxhash64(F.lit(settings.seed), salt, F.col(key)), F.lit(top))
+
+    # one hash per row chooses a pool a few times larger than all samples together
+    pool_rows = min(n_rows, 4 * settings.iso_trees * settings.iso_sample)
+    pool = rows if pool_rows == n_rows else rows.where(draw(F.lit(-1)) < int(top * pool_rows / n_rows))
+    # twice the rows a tree needs; fewer are left out below
+    limit = min(top, int(top * 2.0 * settings.iso_sample / pool_rows) + 1)
     trees = F.transform(
         F.sequence(F.lit(0), F.lit(settings.iso_trees - 1)),
         lambda t: F.struct(t.alias("tree"), draw(t).alias("draw")),
     )
-    drawn = rows.withColumn("t", F.explode(F.filter(trees, lambda s: s["draw"] <= limit + 7)))
+    drawn = pool.withColumn("t", F.explode(F.filter(trees, lambda s: s["draw"] < limit)))
     sample = keep_first(
         drawn.select("key", *features, "t.tree", "t.draw"),
         ["tree"], [F.col("draw").asc(), F.col("key").asc()], n=settings.iso_sample,
@@ -198,7 +206,7 @@ def isolation_forest(
     ``stage`` writes a table and reads it back: the filled features and the scores are read more
     than once and neither should be computed again.
     """
-    rows = stage(isolation_input(df, key, features, skewed), "iso_input")
+    rows = spread(stage(isolation_input(df, key, features, skewed), "iso_input"))
     n_rows = rows.count()
     if n_rows < settings.iso_min_rows:
         return df.withColumn("multivariate_outlier_iso", F.lit(False))
