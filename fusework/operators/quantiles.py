@@ -3,13 +3,16 @@
 ``percentile`` keeps every distinct value of a group in one buffer. Here a bounded sketch only
 chooses cut points near the wanted ranks; exact counts then say in which slice each rank lies, and
 only the rows of those slices are sorted. Poor cut points would cost time, never exactness.
+
+A sketch need not come out the same twice (a lost executor, another merge order), so it is read in
+one place only: the slices carry their own edges, and everything after goes by those edges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 10_000
 
@@ -33,70 +36,83 @@ def exact_quantiles(
 
     margin = 2.0 / ACCURACY
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in levels for d in (-margin, margin)})
-    sketch = F.percentile_approx("__v", [float(c) for c in cuts], F.lit(ACCURACY))
-    if by:
-        marked = rows.join(rows.groupBy(*by).agg(sketch.alias("__cuts")), by)
-    else:
-        marked = rows.withColumn("__cuts", rows.agg(sketch).scalar())
+    sketch = F.percentile_approx("__v", cuts, F.lit(ACCURACY))
+    marked = _attach(rows, rows.groupBy(*by).agg(sketch.alias("__cuts")), by, "__cuts")
     slot = sum((F.col("__v") > F.col("__cuts")[i]).cast("int") for i in range(len(cuts)))
-    sliced = marked.select(*by, "__v", slot.alias("__slot"))
+    edges = ["__lo", "__hi"]  # NULL: open end
+    sliced = marked.select(
+        *by, "__v", F.get("__cuts", slot - 1).alias("__lo"), F.get("__cuts", slot).alias("__hi")
+    )
 
     # a handful of slices per group: the exact position of each of them
-    slices = sliced.groupBy(*by, "__slot").agg(F.count(F.lit(1)).alias("__in"))
+    slices = sliced.groupBy(*by, *edges).agg(F.count(F.lit(1)).alias("__in"))
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    running = group.orderBy("__slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = group.orderBy(F.asc_nulls_first("__lo")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     placed = slices.select(
         *by,
-        "__slot",
+        *edges,
         "__in",
         (F.sum("__in").over(running) - F.col("__in")).alias("__before"),
         F.sum("__in").over(group).alias("__n"),
     )
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(upper).alias("upper"),
-                    (F.floor((F.col("__n") - 1) * F.lit(float(p))) + upper).alias("rank"),
-                    ((F.col("__n") - 1) * F.lit(float(p)) % 1).alias("frac"),
-                )
-                for i, p in enumerate(levels)
-                for upper in (0, 1)
-            ]
+    last = F.col("__n") - 1
+    wanted = F.array(*[
+        F.struct(
+            F.lit(i).alias("i"),
+            F.lit(upper).alias("upper"),
+            (F.least(F.floor(last * F.lit(float(p))) + upper, last) - F.col("__before")).alias("pos"),
+            (last * F.lit(float(p)) % 1).alias("frac"),
+            F.col("__n").alias("n"),
         )
+        for i, p in enumerate(levels)
+        for upper in (0, 1)
+    ])
+    inside = F.filter(wanted, lambda w: (w["pos"] >= 0) & (w["pos"] < F.col("__in")))
+    ranges = (
+        placed.withColumn("__wants", inside)
+        .where(F.size("__wants") > 0)
+        .groupBy(*by)
+        .agg(F.collect_list(F.struct(*edges, "__wants")).alias("__ranges"))
     )
-    picks = (
-        placed.withColumn("__want", wanted)
-        .select(*by, "__slot", "__n", "__before", "__in", "__want.*")
-        .withColumn("rank", F.least(F.col("rank"), F.col("__n") - 1))
-        .where((F.col("rank") >= F.col("__before")) & (F.col("rank") < F.col("__before") + F.col("__in")))
-        .withColumn("__pos", F.col("rank") - F.col("__before"))
-    )
 
-    keys = [*by, "__slot"]
-    needed = sliced.join(picks.select(*keys).distinct(), keys, "left_semi")
-    tally = needed.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    # only values of the slices that hold a wanted rank go on, each distinct value once
+    def holds(r: Column) -> Column:
+        above = r["__lo"].isNull() | (F.col("__v") > r["__lo"])
+        return above & (r["__hi"].isNull() | (F.col("__v") <= r["__hi"]))
+
+    near = _attach(rows, ranges, by, "__ranges").select(
+        *by, "__v", F.explode(F.filter("__ranges", holds)).alias("r")
+    )
+    keys = [*by, *edges]
+    tally = near.select(*by, "r.*", "__v").groupBy(*keys, "__v").agg(
+        F.count(F.lit(1)).alias("__c"), F.any_value("__wants").alias("__wants")
+    )
     upto = F.sum("__c").over(
         Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = tally.withColumn("__upto", upto)
-    hits = ranked.join(picks, keys).where(
-        (F.col("__pos") < F.col("__upto")) & (F.col("__pos") >= F.col("__upto") - F.col("__c"))
-    )
+    end = F.col("__upto")
+    hit = F.filter("__wants", lambda w: (w["pos"] < end) & (w["pos"] >= end - F.col("__c")))
+    hits = tally.withColumn("__upto", upto).select(*by, "__v", F.explode(hit).alias("w"))
 
-    def at(i: int, upper: int):
-        return F.max(F.when((F.col("i") == i) & (F.col("upper") == upper), F.col("__v")))
+    def at(i: int, upper: int) -> Column:
+        return F.max(F.when((F.col("w.i") == i) & (F.col("w.upper") == upper), F.col("__v")))
 
-    def level(i: int):
-        frac = F.max(F.when(F.col("i") == i, F.col("frac")))
+    def level(i: int) -> Column:
+        frac = F.max(F.when(F.col("w.i") == i, F.col("w.frac")))
         return at(i, 0) + (at(i, 1) - at(i, 0)) * frac
 
     return hits.groupBy(*by).agg(
-        *[level(i).alias(name) for i, name in enumerate(names)], F.max("__n").alias("__n")
+        *[level(i).alias(name) for i, name in enumerate(names)], F.max("w.n").alias("__n")
     )
 
 
+def _attach(rows: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
+    """Adds a column of facts per group; without groups it is one value and needs no join."""
+    return rows.join(facts, by) if by else rows.withColumn(column, facts.select(column).scalar())
+
+
 def mean_median_count(
     df: DataFrame, by: str, value: str, mean: str, median: str, count: str
 ) -> DataFrame:

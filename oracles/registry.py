@@ -403,8 +403,10 @@ def dedup_by_key(spark, sf_dir):
 
 @register("dedup_texts", "SELECT min(doc_id) AS doc_id, md5(text) AS text_md5 FROM documents GROUP BY text")
 def dedup_texts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup.dedup_by_key(docs, "text", "doc_id").select("doc_id", F.md5("text").alias("text_md5"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", dedup.text_digest(C("text")).alias("digest"), F.md5("text").alias("text_md5")
+    )
+    return dedup.dedup_by_key(docs, "digest", "doc_id").drop("digest")
 
 
 @register("dedup_best_record", "SELECT b_row_id, title_norm, release_year FROM clean_b")
@@ -422,7 +424,7 @@ def dedup_best_record(spark, sf_dir):
 )
 def count_duplicates(spark, sf_dir):
     cases = [
-        ("documents", table(spark, sf_dir, "documents"), ["text"]),
+        ("documents", table(spark, sf_dir, "documents").select(dedup.text_digest(C("text")).alias("text")), ["text"]),
         ("lineitem", table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
         ("orders", table(spark, sf_dir, "orders"), None),
         ("cat_a", cat_a(spark, sf_dir), ["id"]),

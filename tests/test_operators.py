@@ -6,12 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fusework.config import Settings
-from fusework.operators import dedup, golden, link, models, outliers, recommend
+from fusework.operators import dedup, golden, link, models, outliers, recommend, reports
 from fusework.operators.quantiles import exact_quantiles
 from fusework.plans.stages import CatalogRun
 from fusework.sources import catalog_csv as csv
 from fusework.sources.fixtures import cat_a, cat_b
-from oracles.registry import QUERIES
 from tests.test_functions import plain_lcs, plain_token_set
 
 
@@ -125,7 +124,6 @@ def test_representatives_do_not_change_exact_and_near_year_matches(spark):
     a = link_side(spark, titles, years, runs)
     b = link_side(spark, titles[20:70], years[10:60], runs[30:80])
     left, right = a.collect(), b.collect()
-    score = {None: None}
 
     def near(x, y):
         if x["title_norm"] != y["title_norm"] or abs(x["release_year"] - y["release_year"]) > 1:
@@ -144,7 +142,6 @@ def test_representatives_do_not_change_exact_and_near_year_matches(spark):
              if left[i]["release_year"] == right[j]["release_year"]]
     got = {(r["a_row_id"], r["b_row_id"]) for r in link.match_exact(a, b).collect()}
     assert got == {(i, j) for i, j, _ in plain_resolve(exact)}
-    assert score
 
 
 @pytest.fixture(scope="module")
@@ -263,6 +260,6 @@ def test_match_audit_reads_one_folder_per_status(run, spark, tmp_path):
 
 
 def test_report_scans_are_pruned_and_filtered(run):
-    plan = explain(QUERIES and __import__("fusework.operators.reports", fromlist=["x"]).m_q9_decade_profitability(run.master))
+    plan = explain(reports.m_q9_decade_profitability(run.master))
     assert "EqualTo(record_type,merged)" in plan
     assert "overview" not in plan.split("ReadSchema:")[1]
