@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
+from fusework.functions.numbers import percent, percent_true
 from fusework.operators.dedup import count_duplicates
 from fusework.operators.link import equal_width_histogram
 from fusework.operators.profile import metrics
@@ -16,7 +17,7 @@ from fusework.operators.quantiles import exact_quantiles
 def record_type_summary(master: DataFrame) -> DataFrame:
     total = master.agg(F.count(F.lit(1))).scalar()
     counts = master.groupBy("record_type").agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("pct", F.round(F.col("count") / total * 100, 4))
+    return counts.withColumn("pct", percent(F.col("count"), total))
 
 
 def coverage_summary(master: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -27,7 +28,7 @@ def coverage_summary(master: DataFrame, settings: Settings = DEFAULTS) -> DataFr
 
     def rate(other: str) -> Column:
         total = n("merged") + n(other)
-        return F.when(total > 0, F.round(n("merged") / total * 100, 4))
+        return F.when(total > 0, percent(n("merged"), total))
 
     return metrics(master, {
         "merged_records": n("merged"),
@@ -57,7 +58,7 @@ def quality_before_after(raw_a: DataFrame, raw_b: DataFrame, master: DataFrame)
         "dqs_mean_after": F.round(F.avg(score), 4),
         # the score has four decimals: at most 10,001 distinct values in the buffer
         "dqs_median_after": F.round(F.median(score), 4),
-        "merged_pct_after": F.round(F.avg((F.col("record_type") == "merged").cast("int")) * 100, 4),
+        "merged_pct_after": percent_true(F.col("record_type") == "merged"),
     })
 
 

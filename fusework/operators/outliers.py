@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
+from fusework.functions.numbers import percent
 from fusework.operators.dedup import keep_first
 from fusework.operators.quantiles import exact_quantiles
 from fusework.session import spread
@@ -68,7 +69,7 @@ def iqr_summary(flagged: DataFrame, bounds: DataFrame, columns: Sequence[str]) -
     counts = one.unpivot(["__rows"], present, "column", "n_outliers")
     return bounds.join(counts, "column").select(
         "column", "lower_bound", "upper_bound", "n_outliers",
-        F.round(F.col("n_outliers") / F.col("__rows") * 100, 4).alias("pct_outliers"),
+        percent(F.col("n_outliers"), F.col("__rows")).alias("pct_outliers"),
     )
 
 

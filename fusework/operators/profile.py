@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
+from fusework.functions.numbers import percent, percent_true
 from fusework.functions import parse as P
 from fusework.functions.text import normalize_basic_text
 from fusework.operators.dedup import count_duplicates, keep_first
@@ -71,11 +72,11 @@ def profile_columns(
         F.element_at(type_of, F.col("column")).alias("dtype"),
         "n_rows",
         (F.col("n_rows") - F.col("n_not_null")).alias("n_null"),
-        F.round((F.col("n_rows") - F.col("n_not_null")) / F.col("n_rows") * 100, 4).alias("null_pct"),
+        percent(F.col("n_rows") - F.col("n_not_null"), F.col("n_rows")).alias("null_pct"),
         "n_not_null",
         "n_unique",
         F.when(
-            F.col("n_not_null") > 0, F.round(F.col("n_unique") / F.col("n_not_null") * 100, 4)
+            F.col("n_not_null") > 0, percent(F.col("n_unique"), F.col("n_not_null"))
         ).alias("unique_pct_over_not_null"),
     )
     if order_by is None:
@@ -105,14 +106,14 @@ def top_value_counts(df: DataFrame, column: str, n: int = 10) -> DataFrame:
     return (
         counts.orderBy(F.desc("count"), F.asc_nulls_last("value"))
         .limit(n)
-        .withColumn("pct", F.round(F.col("count") / total * 100, 2))
+        .withColumn("pct", percent(F.col("count"), total, 2))
     )
 
 
 def null_pct_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     one = df.agg(
-        *[F.round(F.avg(F.col(c).isNull().cast("int")) * 100, 4).alias(c) for c in present]
+        *[percent_true(F.col(c).isNull()).alias(c) for c in present]
     )
     return one.unpivot([], present, "column", "null_pct")
 

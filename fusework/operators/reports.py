@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.config import DEFAULTS, DIRECTOR_NOISE, UNKNOWN, Settings
+from fusework.functions.numbers import percent, percent_true
 from fusework.operators.quantiles import mean_median_count
 
 ID = "movie_master_id"
@@ -61,7 +62,7 @@ def a_q2_financial_quality(master: DataFrame) -> DataFrame:
     } | {f: F.count_if(F.col(f)) for f in flags if f in master.columns}
     one = subset_a(master).agg(F.count(F.lit(1)).alias("__rows"), *[e.alias(n) for n, e in exprs.items()])
     return one.unpivot(["__rows"], list(exprs), "metric", "count").select(
-        "metric", "count", F.round(F.col("count") / F.col("__rows") * 100, 4).alias("pct")
+        "metric", "count", percent(F.col("count"), F.col("__rows")).alias("pct")
     )
 
 
@@ -140,7 +141,7 @@ def b_q4_missing_fields(master: DataFrame) -> DataFrame:
 
     one = subset_b(master).agg(F.count(F.lit(1)).alias("__rows"), *[missing(f) for f in fields])
     return one.unpivot(["__rows"], fields, "field", "n_null").select(
-        "field", "n_null", F.round(F.col("n_null") / F.col("__rows") * 100, 4).alias("pct_null")
+        "field", "n_null", percent(F.col("n_null"), F.col("__rows")).alias("pct_null")
     ).orderBy(F.desc("pct_null"), "field")
 
 
@@ -241,7 +242,7 @@ def m_q8_genre_roi(master: DataFrame, min_movies: int = 20) -> DataFrame:
 def m_q9_decade_profitability(master: DataFrame) -> DataFrame:
     rows = subset_merged(master).where(F.col("is_profitable").isNotNull() & F.col("release_decade").isNotNull())
     return rows.groupBy("release_decade").agg(
-        F.round(F.avg("is_profitable") * 100, 2).alias("profitable_pct"),
+        percent_true(F.col("is_profitable") == 1, 2).alias("profitable_pct"),
         F.count("is_profitable").alias("n_movies"),
     ).orderBy("release_decade")
 

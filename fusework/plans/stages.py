@@ -61,8 +61,11 @@ class CatalogRun:
     @property
     def links(self) -> tuple[DataFrame, DataFrame]:
         """The narrow link projections, stored so that every layer reads only them."""
-        a, b = link.linkage_inputs(self.clean_a, self.clean_b, self.settings)
-        return self._staged("link_a", lambda: a), self._staged("link_b", lambda: b)
+        if "link_b" not in self._tables:
+            a, b = link.linkage_inputs(self.clean_a, self.clean_b, self.settings)
+            self.stage(a, "link_a")
+            self.stage(b, "link_b")
+        return self._tables["link_a"], self._tables["link_b"]
 
     @property
     def matches(self) -> DataFrame:

@@ -163,3 +163,10 @@ def test_token_set_block_and_columns_agree_with_brute_force(spark, texts):
     assert got == pytest.approx([plain_token_set(a, b) for a, b in pairs])
     none = spark.createDataFrame([(None, "x")], "a string, b string")
     assert none.select(indel.indel_ratio(F.col("a"), F.col("b"))).first()[0] is None
+
+
+def test_percent_ties_round_up(spark):
+    from fusework.functions.numbers import percent
+
+    df = spark.createDataFrame([(85, 100_000)], "n bigint, total bigint")
+    assert df.select(percent(F.col("n"), F.col("total"), 2)).first()[0] == 0.09

@@ -29,3 +29,9 @@ def test_every_query_is_listed_by_the_entry_point():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_has_rows(spark):
+    import __spark_entry__ as entry
+
+    assert entry.entry(spark).count() > 0
