@@ -11,6 +11,8 @@ one place only: the slices carry their own edges, and everything after goes by t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -82,7 +84,10 @@ def exact_quantiles(
         above = r["__lo"].isNull() | (F.col("__v") > r["__lo"])
         return above & (r["__hi"].isNull() | (F.col("__v") <= r["__hi"]))
 
-    near = _attach(rows, ranges, by, "__ranges").select(
+    # a plain comparison drops nearly all rows before the array is looked into
+    ends = [F.get("__ranges", F.lit(k)) for k in range(2 * len(levels))]
+    in_some = reduce(or_, [r.isNotNull() & holds(r) for r in ends])
+    near = _attach(rows, ranges, by, "__ranges").where(in_some).select(
         *by, "__v", F.explode(F.filter("__ranges", holds)).alias("r")
     )
     keys = [*by, *edges]
