@@ -1570,9 +1570,12 @@ def _scaled(c: str, source: str) -> str:
 
 
 _GENRE_SCORE = " + ".join(f"({w}) * {_scaled(c, 'genre_stats')}" for c, w in ranking.GENRE_WEIGHTS.items())
-_GENRE_ROUND = ["profitable_pct", "revenue_mean", "popularity_mean", "rating_mean", "dqs_mean", "recent_pct", "budget_coverage", "outlier_pct", "revenue_median"]
+# compared to ten decimals, where float sums of any order agree; money has fewer to give
+_GENRE_ROUND = dict.fromkeys(
+    ["profitable_pct", "popularity_mean", "rating_mean", "dqs_mean", "recent_pct", "budget_coverage", "outlier_pct"], 10
+) | {"revenue_mean": 4, "revenue_median": 4}
 _GENRE_RANKING = (
-    "SELECT genre, n_movies, " + ", ".join(f"round({c}, 4) AS {c}" for c in _GENRE_ROUND)
+    "SELECT genre, n_movies, " + ", ".join(f"round({c}, {d}) AS {c}" for c, d in _GENRE_ROUND.items())
     + f", round({_GENRE_SCORE}, 4) AS strategic_investment_score FROM genre_stats"
 )
 
@@ -1580,7 +1583,7 @@ _GENRE_RANKING = (
 @register("genre_investment_ranking", _GENRE_RANKING, genre_stats=_GENRE_STATS)
 def genre_investment_ranking(spark, sf_dir):
     return ranking.genre_investment_ranking(sql_run(spark, sf_dir).master).withColumns(
-        {c: F.round(c, 4) for c in _GENRE_ROUND}
+        {c: F.round(c, d) for c, d in _GENRE_ROUND.items()}
     )
 
 
