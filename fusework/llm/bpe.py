@@ -63,7 +63,6 @@ class TokenAutomaton:
                 self.labels[token] = label.encode()
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self._compile([(self.vocab[a], self.vocab[b], self.vocab[a + b]) for a, b in merges], size)
-        self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self._prepare()
 
     def _compile(self, merges: list[tuple[int, int, int]], size: int) -> None:
@@ -100,6 +99,8 @@ class TokenAutomaton:
                 state, token, time = self.right[state], self.left[token], i
 
     def _prepare(self) -> None:
+        names = "|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True))
+        self.special = re.compile(f"({names})") if names else None
         self.inside = {s: t for s, t in self.vocab.items() if not s.endswith(END) and self.alive[t]}
         self.ending = {s[: -len(END)]: t for s, t in self.vocab.items() if s.endswith(END) and self.alive[t]}
         self.longest = max(map(len, [*self.inside, *self.ending]))
@@ -112,14 +113,10 @@ class TokenAutomaton:
         self.ascii_split = re.compile(ASCII_SPLIT)
 
     def __getstate__(self):
+        """What the merges were compiled into, without caches."""
         keep = ("vocab", "added", "labels", "left", "right", "born", "gone", "size", "alive")
         return {k: self.__dict__[k] for k in keep}
 
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self._prepare()
-
     def encode_word(self, word: str) -> bytes:
         """The ids of one pre-split word: the only path of the automaton that spells it.
 
@@ -249,16 +246,16 @@ def encode_documents(docs, tokenizer_path: str, with_ids: bool = False):
 
     import pyarrow as pa
 
-    from fusework.llm.textbatch import bounded_batches
+    from fusework.llm.textbatch import bounded_batches, send
 
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(load_automaton(tokenizer_path))
+    receive = send(spark, load_automaton(tokenizer_path))
     key = docs.schema["doc_id"].dataType.simpleString()
     more = ", ids array<int>, decoded string" if with_ids else ""
 
     def work(batches):
-        automaton = shared.value
+        automaton = receive()
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():

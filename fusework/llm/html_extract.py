@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fusework.llm.labelled_pages import PAGES
-from fusework.llm.textbatch import bounded_batches
+from fusework.llm.textbatch import bounded_batches, send
 
 # Fixed values of HTML: elements without an end tag, without text of the page, and inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -144,6 +144,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if tag == "textarea":
                 add(inner)
             at = close.start() if close else end
+    if len(nodes) == 1:
+        nodes[0].tag = "text"  # no element at all
     for k in range(len(nodes) - 1, 0, -1):
         node, parent = nodes[k], nodes[nodes[k].parent]
         parent.text += node.text
@@ -161,24 +163,28 @@ def features(node: Node) -> list[str]:
 
 @dataclass
 class TreeModel:
-    """Log potentials: features of a node, and child given parent by the child's tag or for any tag."""
+    """Log potentials of a node's features, and tables of child given parent by their tags."""
 
     root: float
     node: dict[str, float]
     edge: dict[str, tuple[tuple[float, float], tuple[float, float]]]
 
+    def table(self, parent: str, child: str):
+        """P(child | parent) by both tags where they were labelled, else by the parent's, else for any."""
+        return self.edge.get(f"{parent} {child}") or self.edge.get(parent) or self.edge[""]
+
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Probability that each node is content: messages upward, then downward."""
         n = len(nodes)
         own = [1.0] * n  # odds of the evidence at and below a node
         up = [(1.0, 1.0)] * n
-        any_tag = self.edge[""]
+        tables = [self.table(nodes[max(0, x.parent)].tag, x.tag) for x in nodes]
         for k in range(n):
             own[k] = sum(self.node.get(f, 0.0) for f in features(nodes[k]))
         below = [(0.0, x) for x in own]  # log of (not content, content)
         for k in range(n - 1, 0, -1):
             no, yes = below[k]
-            edge = self.edge.get(nodes[k].tag, any_tag)
+            edge = tables[k]
             top = max(no, yes)
             a, b = exp(no - top), exp(yes - top)
             message = tuple(top + log(edge[p][0] * a + edge[p][1] * b) for p in (0, 1))
@@ -193,7 +199,7 @@ class TreeModel:
             no, yes = whole[p][0] - up[k][0], whole[p][1] - up[k][1]
             top = max(no, yes)
             a, b = exp(no - top), exp(yes - top)
-            edge = self.edge.get(nodes[k].tag, any_tag)
+            edge = tables[k]
             down = [log(a * edge[0][c] + b * edge[1][c]) for c in (0, 1)]
             whole[k] = (below[k][0] + down[0], below[k][1] + down[1])
             top = max(whole[k])
@@ -204,7 +210,7 @@ class TreeModel:
 def train(pages: list[str]) -> TreeModel:
     """Counts the tables on pages whose elements carry data-content="1" or "0".
 
-    An element without the mark has its parent's label; the page itself is not content. Counts are
+    An element without the mark has its parent's label; the page itself is content if it is text only. Counts are
     smoothed; a feature that no labelled page has tells nothing.
     """
     seen: dict[str, Counter] = {}
@@ -214,12 +220,12 @@ def train(pages: list[str]) -> TreeModel:
         nodes, _ = parse(page)
         label = [0] * len(nodes)
         for k, node in enumerate(nodes):
-            label[k] = node.label if node.label is not None else label[node.parent] if k else 0
+            label[k] = node.label if node.label is not None else label[node.parent] if k else int(node.tag == "text")
             totals[label[k]] += 1
             for f in features(node):
                 seen.setdefault(f, Counter())[label[k]] += 1
             if k:
-                for name in ("", node.tag):
+                for name in ("", nodes[node.parent].tag, f"{nodes[node.parent].tag} {node.tag}"):
                     edges.setdefault(name, {}).setdefault((label[node.parent], label[k]), 0)
                     edges[name][label[node.parent], label[k]] += 1
             else:
@@ -230,11 +236,15 @@ def train(pages: list[str]) -> TreeModel:
         potentials[f] = weight * (log((c[1] + 0.3) / (totals[1] + 0.6)) - log((c[0] + 0.3) / (totals[0] + 0.6)))
     tables = {}
     base = {(p, c): (edges[""].get((p, c), 0) + 0.5) / (sum(edges[""].get((p, x), 0) for x in (0, 1)) + 1) for p in (0, 1) for c in (0, 1)}
-    for name, counts in edges.items():
+    for name in sorted(edges, key=lambda x: x.count(" ")):
+        counts, wider = edges[name], tables.get(name.split(" ")[0], tables.get(""))
         tables[name] = tuple(
-            tuple((counts.get((p, c), 0) + 4 * base[p, c]) / (sum(counts.get((p, x), 0) for x in (0, 1)) + 4) for c in (0, 1)) for p in (0, 1)
+            tuple(
+                (counts.get((p, c), 0) + 2 * (wider[p][c] if wider else base[p, c])) / (sum(counts.get((p, x), 0) for x in (0, 1)) + 2)
+                for c in (0, 1)
+            ) for p in (0, 1)
         )
-    return TreeModel(0.02, potentials, tables)
+    return TreeModel((roots[1] + 0.5) / (sum(roots.values()) + 1), potentials, tables)
 
 
 def extract(page: str, model: TreeModel) -> str:
@@ -253,11 +263,11 @@ def extract_pages(pages: DataFrame, labelled: tuple[str, ...] = PAGES) -> DataFr
     """
     spark = pages.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(train(list(labelled)))
+    receive = send(spark, train(list(labelled)))
     key = pages.schema["page_id"].dataType.simpleString()
 
     def work(batches):
-        model = shared.value
+        model = receive()
         for batch in batches:
             texts = [extract(page or "", model) for page in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -42,8 +42,16 @@ cool 20</pre><p>{_LONG}</p></div>
 <div class="popup modal overlay"><p>Do you like this? Become a member today and read without adverts.</p></div><footer><p>Made by us</p></footer></body></html>""",
     f"""<html><body><div class="page"><div class="head masthead"><p>The Daily</p></div><div class="story" data-content="1"><h1>Title</h1><p>{_Q}</p><p>{_P}</p><p>{_LONG}</p><div><p>{_R}</p><p>{_Q}</p></div></div>
 <div class="side column sponsor ads"><p>Hot deals near you, click to see them all before they are gone.</p></div><div class="pagination pager"><a href="/2">Next</a></div><div class="tags meta"><a href="/t">water</a></div></div></body></html>""",
-    f"""<html><body><header class="site-header"><p>Welcome to our pages about gardens.</p></header><main data-content="1"><h1>Roses</h1><p>{_LONG}</p><section><h2>Soil</h2><p>{_P}</p></section><section><h2>Water</h2><p>{_Q}</p><dl><dt>Spring</dt><dd>Often</dd></dl></section></main>
+    f"""<html><body><header class="site-header"><h1>Gardens</h1><p>Welcome to our pages about gardens.</p></header><main data-content="1"><h1>Roses</h1><p>{_LONG}</p><section><h2>Soil</h2><p>{_P}</p></section><section><h2>Water</h2><p>{_Q}</p><dl><dt>Spring</dt><dd>Often</dd></dl></section></main>
 <aside><p>About the author: a gardener for thirty years, with a book to come this winter.</p></aside>
 <div class="consent gdpr cookie notice"><p>This site stores data on your device. Choose what you allow before you go on.</p></div><form><p>Ask a question</p><select><option>Roses</option></select></form><footer><p>Contact and imprint</p></footer></body></html>""",
     f"""<html><body><nav><a href="/">Home</a></nav><article data-content="1"><h1>Note</h1><p>{_R}</p></article><footer>&copy; x &middot; Some closing words of the host.</footer></body></html>""",
+    f"""<html><body><header class="site"><h1>The Observer</h1><p>All the news of the valley, every day of the week</p></header><div class="menu"><ul><li><a href="/1">Today</a></li></ul></div>
+<h1 data-content="1">Harvest</h1><p data-content="1">{_P}</p><p data-content="1">{_LONG}</p><ul data-content="1"><li>{_R}</li></ul><p data-content="1">{_Q}</p>
+<div class="footer"><p>Printed in the valley.</p></div></body></html>""",
+    f"""<html><body><header><h1>Valley pages</h1><h2>Since 1950</h2></header><header class="banner top"><h1>Shop</h1></header><div data-content="1"><h2>Honey</h2><p>{_LONG}</p><p>{_Q}</p></div>
+<div class="notification bar"><p>New: our pages now work on your phone as well.</p></div><footer><h2>Contact</h2><p>Write to us at any time.</p></footer></body></html>""",
+    f"{_P} {_Q}",
+    _R,
+    _LONG,
 )

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from fusework.llm.textbatch import bounded_batches, pieces
+from fusework.llm.textbatch import bounded_batches, pieces, send
 
 UNDETERMINED = "und"
 SEGMENT = 256
@@ -195,11 +195,11 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
+    receive = send(spark, model)
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
-        model = shared.value
+        model = receive()
         for rows, data, offsets in pieces(batches):
             points, starts = code_points(data, offsets)
             n = rows.num_rows

@@ -15,10 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fusework.llm.textbatch import SPACES, bounded_batches, pieces, span_hashes, word_spans
+from fusework.llm.textbatch import SPACES, bounded_batches, pieces, send, span_hashes, word_spans
 
 SCALE = 1024
 SHRINKAGE = 0.15
+PRIOR = 30.0
 NAMES = (
     "words", "word_length", "upper", "symbols", "digits", "distinct", "neighbours", "short_words", "stops",
     "line_length", "repeated_lines", "sentence",
@@ -70,13 +71,15 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     repeated = lines - _distinct(span_hashes(data, line_start, line_end), line_row, n)
     letters, stops = count(LETTER), count(STOP)
 
-    def share(part, whole):
-        return np.log((part + 0.5) / (whole + 1.0))
+    def share(part, whole, usual):
+        # short texts count as if PRIOR units with the usual share came before them
+        return np.log((part + PRIOR * usual) / (whole + PRIOR))
 
     columns = [
-        np.log1p(words), np.log((inside + 1.0) / (words + 1.0)), share(count(UPPER), letters), share(count(SYMBOL), size),
-        share(count(DIGIT), size), share(distinct, words), share(neighbours, words), share(short, words), share(stops, words),
-        np.log((words + 1.0) / (lines + 1.0)), share(repeated, lines), np.log((words + 1.0) / (stops + 1.0)),
+        np.log(words + PRIOR), np.log((inside + 5 * PRIOR) / (words + PRIOR)), share(count(UPPER), letters, 0.03),
+        share(count(SYMBOL), size, 0.01), share(count(DIGIT), size, 0.01), share(distinct, words, 0.8), share(neighbours, words, 0.01),
+        share(short, words, 0.4), share(stops, words, 0.1), np.log((words + 3 * PRIOR) / (lines + 0.1 * PRIOR)), share(repeated, lines, 0.05),
+        np.log((words + PRIOR) / (stops + 0.1 * PRIOR)),
     ]
     return np.rint(np.stack(columns, 1) * SCALE).astype(np.int64)
 
@@ -161,13 +164,13 @@ def fit_discriminant(rows: DataFrame, shrinkage: float = SHRINKAGE) -> Discrimin
 
 def score_documents(rows: DataFrame, model: Discriminant) -> DataFrame:
     """Adds score (double) and predicted (int) to ``rows``, which has ``x``."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    receive = send(rows.sparkSession, model)
     schema = rows.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
     def work(batches):
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(NAMES))
-            score = shared.value.scores(x)
+            score = receive().scores(x)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(score), pa.array((score >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"]
             )

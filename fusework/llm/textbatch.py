@@ -59,6 +59,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def send(spark: SparkSession, model):
+    """Broadcasts an object's plain state, so that executors need no copy of this package.
+
+    Gives a function that tasks call for the object; a worker builds it once and keeps it.
+    """
+    state = model.__getstate__() if hasattr(type(model), "_prepare") else dict(vars(model))
+    shared, kind = spark.sparkContext.broadcast({"state": state}), type(model)
+
+    def receive():
+        held = shared.value
+        if "object" not in held:
+            held["object"] = built = kind.__new__(kind)
+            built.__dict__.update(held["state"])
+            if hasattr(kind, "_prepare"):
+                built._prepare()
+        return held["object"]
+
+    return receive
+
+
 def words_column(text: Column) -> Column:
     """The words of a text as an array; empty for NULL and for text without words."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
