@@ -14,8 +14,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fusework.llm.textbatch import stored
+
 EDITS = 2
 MIN_CHARS = 20
+BROADCAST_KEYS = 2_000_000  # 8 bytes each; more keys are joined by a shuffle
 
 # Character classes that are counted per line; an edit changes two of the counts by one at most.
 CLASSES = ("[aàáâäei]", "[oóöuúüé]", "[tnsr]", "[hldc]", "[ ,.;:!?]")
@@ -95,11 +98,12 @@ def edit_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
         F.lit(0).cast("long").alias("vn"), F.lit(0).cast("long").alias("cost"),
     )
     # the inner transform holds the diagonal bits, which the second half needs several times
-    return F.aggregate(
+    cost = F.aggregate(
         F.sequence(F.lit(1), F.size(b)), start,
         lambda acc, j: F.get(F.transform(F.array(diagonals(acc, j)), verticals), 0),
         lambda acc: acc["cost"],
     )
+    return F.when(F.size(b) == 0, F.lit(0).cast("long")).otherwise(cost)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -108,62 +112,99 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row for each line to remove: doc_id, uid, line_no, kept_doc_id, kept_line_no, edits.
-
-    A line goes if an equal line, or one within ``edits`` edits where both have ``min_chars``
-    characters or more, comes before it by (doc_id, uid, line_no); NULL ids come first. The kept line is
-    the first of these. Lines without a word stay. Rows equal in id and text are one document. NULL
-    texts have no lines.
-    """
-    lines = _lines(docs)
-    own = F.struct("doc_id", "uid", "line_no")
-    distinct = lines.groupBy(*_hashes()).agg(
-        F.min(own).alias("first"), F.first("line").alias("line"), F.count(F.lit(1)).alias("n_lines"),
-    )
-    n = F.char_length("line").cast("int")
-    counts = reduce(
-        lambda x, y: x * 1000 + y, [F.least(F.regexp_count("line", F.lit(c)), F.lit(999)).cast("long") for c in CLASSES]
-    )
-    long_lines = distinct.where(n >= min_chars).select("h", "h2", "first", "line", n.alias("n"), counts.alias("counts"))
+def _keys(edits: int) -> tuple[list[Column], list[Column]]:
+    """Hashes of what a line (line, n) is indexed by, and of what it probes for."""
 
     def key(length: Column, i: int, start: Column, size: Column) -> Column:
         return F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start + 1, size))
 
-    # one explode for both sides: a struct of the probing length and the key
-    index_keys = [key(F.col("n"), i, *_place(F.col("n"), i, edits)) for i in range(edits + 1)]
-    index = long_lines.select("h", "n", "counts", F.explode(F.array(*index_keys)).alias("key"))
-    probe_keys = []
+    n = F.col("n")
+    index = [key(n, i, *_place(n, i, edits)) for i in range(edits + 1)]
+    probes = []
     for diff, i, shift in probe_shifts(edits):
-        start, size = _place(F.col("n") - diff, i, edits)
-        probe_keys.append(key(F.col("n") - diff, i, start + shift, size))
-    probes = long_lines.select(F.col("h").alias("h_b"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b"), F.explode(F.array(*probe_keys)).alias("key"))
-    off = reduce(
-        lambda x, y: x + y,
-        [F.abs(_digit("counts", k) - _digit("counts_b", k)) for k in range(len(CLASSES))],
+        start, size = _place(n - diff, i, edits)
+        probes.append(key(n - diff, i, start + shift, size))
+    return index, probes
+
+
+def _contested_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
+    """h, h2, line, n of the different lines that share a key with another line.
+
+    Nearly every key belongs to one line. Only the smallest and the largest line of a key are
+    gathered, which shuffles numbers and no text, however often a line stands in the corpus.
+    """
+    index, probes = _keys(edits)
+    lines = _lines(docs).select(*_hashes(), "line", F.char_length("line").cast("int").alias("n")).where(F.col("n") >= min_chars)
+    # an index key is also a probe key of length difference 0 and shift 0
+    keyed = lines.withColumn("key", F.explode(F.array(*probes)))
+    contested = stored(
+        keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key"), "contested"
+    )
+    if contested.count() <= BROADCAST_KEYS:
+        found = keyed.join(F.broadcast(contested), "key", "left_semi")
+    else:
+        wanted = keyed.select("h", "key").join(contested, "key", "left_semi").select("h").distinct()
+        found = lines.join(wanted, "h", "left_semi")
+    return stored(found.groupBy("h", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n")), "lines")
+
+
+def _close_lines(lines: DataFrame, edits: int) -> DataFrame:
+    """h, h2, h_b, h2_b, edits of the pairs of ``lines`` within ``edits`` edits."""
+    index, probes = _keys(edits)
+    counts = [F.regexp_count("line", F.lit(c)).alias(f"c{k}") for k, c in enumerate(CLASSES)]
+    known = lines.select("h", "h2", "line", "n", F.array(*counts).alias("counts"))
+    left = known.select("h", "h2", "n", "counts", F.explode(F.array(*index)).alias("key"))
+    right = known.select(
+        F.col("h").alias("h_b"), F.col("h2").alias("h2_b"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b"),
+        F.explode(F.array(*probes)).alias("key"),
     )
+    off = reduce(lambda x, y: x + y, [F.abs(F.get("counts", k) - F.get("counts_b", k)) for k in range(len(CLASSES))])
     met = (
-        index.join(probes, "key")
+        left.join(right, "key")
         .where((F.col("n") < F.col("n_b")) | (F.col("h") < F.col("h_b"))).where(off <= 2 * edits)
-        .select("h", "h_b").distinct()
+        .select("h", "h2", "h_b", "h2_b").distinct()
     )
-    chars = long_lines.select("h", "h2", "first", F.split("line", "").alias("chars"))
-    other = chars.select(*[F.col(c).alias(f"{c}_b") for c in chars.columns])
-    pairs = met.join(chars, "h").join(other, "h_b")
-    close = pairs.select(
-        "h", "h2", "first", "h_b", "h2_b", "first_b", edit_distance(F.col("chars"), F.col("chars_b"), edits).alias("edits")
-    ).where(F.col("edits") <= edits)
-    # the later of the two lines goes
-    later = F.col("first") < F.col("first_b")
-    before = close.select(
-        F.when(later, F.col("h_b")).otherwise(F.col("h")).alias("h"), F.when(later, F.col("h2_b")).otherwise(F.col("h2")).alias("h2"),
-        F.struct(F.least("first", "first_b").alias("first"), F.col("edits")).alias("earlier"),
-    ).groupBy("h", "h2").agg(F.min("earlier").alias("earlier"))
-    classes = distinct.select("h", "h2", "first", "n_lines").join(before, ["h", "h2"], "left").where("n_lines > 1 OR earlier IS NOT NULL")
-    kept = classes.select("h", "h2", F.col("first").alias("own"), "earlier")
-    joined = lines.select(*_hashes(), "doc_id", "uid", "line_no").join(kept, ["h", "h2"])
-    goes = joined.where(F.col("earlier").isNotNull() | ~own.eqNullSafe(F.col("own")))
-    to = F.coalesce(F.col("earlier.first"), F.col("own"))
+    # split below the joins: above them the optimizer would split anew for each character compared
+    short = lines.select("h", "h2", F.split("line", "").alias("a"))
+    long = lines.select(F.col("h").alias("h_b"), F.col("h2").alias("h2_b"), F.split("line", "").alias("b"))
+    pairs = met.join(short, ["h", "h2"]).join(long, ["h_b", "h2_b"])
+    # what both lines begin and end with costs nothing and is cut off first
+    pairs = pairs.withColumn("head", _common(F.col("a"), F.col("b"))).select(
+        "h", "h2", "h_b", "h2_b", *[F.slice(x, F.col("head") + 1, F.size(x) - F.col("head")).alias(x) for x in ("a", "b")]
+    )
+    pairs = pairs.withColumn("tail", _common(F.reverse("a"), F.reverse("b"))).select(
+        "h", "h2", "h_b", "h2_b", *[F.slice(x, F.lit(1), F.size(x) - F.col("tail")).alias(x) for x in ("a", "b")]
+    )
+    return pairs.select("h", "h2", "h_b", "h2_b", edit_distance(F.col("a"), F.col("b"), edits).alias("edits")).where(F.col("edits") <= edits)
+
+
+def _common(a: Column, b: Column) -> Column:
+    """Length of the longest common beginning of two arrays of characters."""
+    first = F.array_position(F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y)), True).cast("int")
+    return F.when(first > 0, first - 1).otherwise(F.size(a))
+
+
+def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row for each line to remove: doc_id, uid, line_no, kept_doc_id, kept_line_no, edits.
+
+    A line goes if an equal line, or one within ``edits`` edits where both have ``min_chars``
+    characters or more, comes before it by (doc_id, uid, line_no); NULL ids come first. The kept line is
+    the first of these. Lines without a word stay. Rows equal in id and text are one document. NULL
+    texts have no lines.
+    """
+    own = F.struct("doc_id", "uid", "line_no")
+    places = stored(_lines(docs).select(*_hashes(), "doc_id", "uid", "line_no"), "places")
+    distinct = places.groupBy("h", "h2").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("n_lines"))
+    close = stored(_close_lines(_contested_lines(docs, edits, min_chars), edits), "pairs")
+    # both directions: what each of the two lines has near it, and where that stands first
+    near = close.union(close.select("h_b", "h2_b", "h", "h2", "edits"))
+    firsts = distinct.select(F.col("h").alias("h_b"), F.col("h2").alias("h2_b"), F.col("first").alias("other"))
+    nearest = near.join(firsts, ["h_b", "h2_b"]).groupBy("h", "h2").agg(F.min(F.struct("other", "edits")).alias("near"))
+    classes = distinct.join(nearest, ["h", "h2"], "left").select(
+        "h", "h2", "n_lines", F.col("first").alias("own"), F.when(F.col("near.other") < F.col("first"), F.col("near")).alias("earlier")
+    ).where("n_lines > 1 OR earlier IS NOT NULL")
+    goes = places.join(classes, ["h", "h2"]).where(F.col("earlier").isNotNull() | ~own.eqNullSafe(F.col("own")))
+    to = F.coalesce(F.col("earlier.other"), F.col("own"))
     return goes.select(
         "doc_id", "uid", "line_no", to["doc_id"].alias("kept_doc_id"), to["line_no"].alias("kept_line_no"),
         F.coalesce(F.col("earlier.edits"), F.lit(0)).alias("edits"),
@@ -175,11 +216,6 @@ def _hashes() -> list[Column]:
     return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), F.col("line")).alias("h2")]
 
 
-def _digit(name: str, k: int) -> Column:
-    place = 1000 ** (len(CLASSES) - 1 - k)
-    return F.floor(F.col(name) / F.lit(place)) % 1000
-
-
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the removed lines cut out of ``text`` and ``n_chars``, if it has it, counted anew.
 
