@@ -168,12 +168,14 @@ def _close_lines(lines: DataFrame, edits: int) -> DataFrame:
     short = lines.select("h", "h2", F.split("line", "").alias("a"))
     long = lines.select(F.col("h").alias("h_b"), F.col("h2").alias("h2_b"), F.split("line", "").alias("b"))
     pairs = met.join(short, ["h", "h2"]).join(long, ["h_b", "h2_b"])
-    # what both lines begin and end with costs nothing and is cut off first
-    pairs = pairs.withColumn("head", _common(F.col("a"), F.col("b"))).select(
-        "h", "h2", "h_b", "h2_b", *[F.slice(x, F.col("head") + 1, F.size(x) - F.col("head")).alias(x) for x in ("a", "b")]
-    )
-    pairs = pairs.withColumn("tail", _common(F.reverse("a"), F.reverse("b"))).select(
-        "h", "h2", "h_b", "h2_b", *[F.slice(x, F.lit(1), F.size(x) - F.col("tail")).alias(x) for x in ("a", "b")]
+    # what both lines begin and end with costs nothing and is cut off first; each step is stored, as the
+    # optimizer would else write one step's expressions into every use of them in the next
+    head, tail = _common(F.col("a"), F.col("b")), _common(F.reverse("a"), F.reverse("b"))
+    names = ["h", "h2", "h_b", "h2_b"]
+    pairs = stored(pairs.select(*names, "a", "b", head.alias("head"), tail.alias("tail")), "ends")
+    rest = F.least(F.col("tail"), F.least(F.size("a"), F.size("b")) - F.col("head"))
+    pairs = stored(
+        pairs.select(*names, *[F.slice(x, F.col("head") + 1, F.size(x) - F.col("head") - rest).alias(x) for x in ("a", "b")]), "middles"
     )
     return pairs.select("h", "h2", "h_b", "h2_b", edit_distance(F.col("a"), F.col("b"), edits).alias("edits")).where(F.col("edits") <= edits)
 
