@@ -200,6 +200,6 @@ def test_search_with_odd_vectors(spark):
     found = vector_search.top_k(vector_search.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), 3, 50).collect()
     vectors = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if v is not None and all(x is not None and x == x for x in v)}
     for q in [i for i in vectors if i % 50 == 0]:
-        clip = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+        clip = lambda s: max(1 - (1 << 63), min((1 << 63) - 1, s))
         best = sorted((-clip(sum(a * b for a, b in zip(vectors[q], v))), i) for i, v in vectors.items() if i != q)[:3]
         assert [(-r.score, r.vec_id) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == best
