@@ -74,7 +74,13 @@ def quality_dims_by_type(master: DataFrame) -> DataFrame:
     dims = [
         "completeness_score", "validity_score", "consistency_score", "traceability_score", "data_quality_score",
     ]
-    return master.groupBy("record_type").agg(*[F.round(F.avg(d), 4).alias(d) for d in dims])
+    return master.groupBy("record_type").agg(*[exact_mean(d).alias(d) for d in dims])
+
+
+def exact_mean(score: str) -> Column:
+    """Mean of a score of four decimals, rounded half up to four: a sum of integers has no order."""
+    total, n = F.sum(F.round(F.col(score) * 10000).cast("long")), F.count(score)
+    return F.floor((2 * total + n) / (2 * n)) / 10000
 
 
 def winsor_histogram(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, bins: int = 50) -> DataFrame:

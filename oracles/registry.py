@@ -1223,7 +1223,7 @@ def dqs_boxplot_stats(spark, sf_dir):
 _DIMS = ["completeness_score", "validity_score", "consistency_score", "traceability_score", "data_quality_score"]
 
 
-@register("quality_dims_by_type", "SELECT record_type, " + ", ".join(f"round(avg({d}), 4) AS {d}" for d in _DIMS) + " FROM master GROUP BY 1")
+@register("quality_dims_by_type", "SELECT record_type, " + ", ".join(f"floor((2 * sum(round({d} * 10000)::BIGINT)::BIGINT + count({d})) / (2 * count({d}))) / 10000 AS {d}" for d in _DIMS) + " FROM master GROUP BY 1")
 def quality_dims_by_type(spark, sf_dir):
     return audit.quality_dims_by_type(sql_run(spark, sf_dir).master)
 
