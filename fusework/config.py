@@ -82,11 +82,11 @@ class Settings:
     # models
     test_size: float = 0.25
     rf_trees: int = 100
-    rf_depth: int = 12
+    rf_depth: int = 30  # the deepest that Spark ML grows
     min_model_rows: int = 50
 
     # recommender
-    tfidf_features: int = 5000
+    tfidf_features: int | None = None  # None: every term found in enough texts
     tfidf_min_df: int = 2
 
 

@@ -55,7 +55,7 @@ def quality_before_after(raw_a: DataFrame, raw_b: DataFrame, master: DataFrame)
         "rows_after": rows,
         "null_cells_before": F.max(scalar(raw_a, _null_cells(raw_a)) + scalar(raw_b, _null_cells(raw_b))),
         "null_cells_after": _null_cells(master),
-        "dqs_mean_after": F.round(F.avg(score), 4),
+        "dqs_mean_after": exact_mean("data_quality_score"),
         # the score has four decimals: at most 10,001 distinct values in the buffer
         "dqs_median_after": F.round(F.median(score), 4),
         "merged_pct_after": percent_true(F.col("record_type") == "merged"),

@@ -21,6 +21,7 @@ from fusework.functions import similarity as S
 from fusework.functions.indel import TokenSetBlock, ratios, sort_tokens
 from fusework.functions.text import block_key_first_letter, main_title_token
 from fusework.operators.dedup import keep_first
+from fusework.operators.quantiles import attach
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -227,7 +228,7 @@ def fuzzy_top_k(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> Da
     def cut(side: DataFrame, key: Column, own: str, other: str) -> DataFrame:
         """Own piece by hash, and one copy for every piece of the other side."""
         return (
-            side.join(pieces, block)
+            attach(side, pieces, block, "pieces_a")
             .withColumn(own.replace("pieces", "piece"), F.pmod(F.xxhash64(key), F.col(own)).cast("int"))
             .withColumn(other.replace("pieces", "piece"), F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
             .drop("pieces_a", "pieces_b")

@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
-from fusework.operators.quantiles import exact_quantiles
+from fusework.operators.quantiles import attach, exact_quantiles
 
 PROFIT_FEATURES = ("budget_usd", "runtime_min", "popularity_tmdb", "vote_count_tmdb", "release_year")
 REVENUE_FEATURES = ("log_budget", "runtime_min", "popularity_tmdb", "vote_count_tmdb", "release_year")
@@ -44,7 +44,7 @@ def train_test_split(
     if stratify is None:
         return drawn.select(*df.columns, (F.col("__draw") < settings.test_size).alias("is_test"))
     cuts = exact_quantiles(drawn, "__draw", {"__cut": settings.test_size}, [stratify]).drop("__n")
-    return drawn.join(cuts, stratify).select(*df.columns, (F.col("__draw") <= F.col("__cut")).alias("is_test"))
+    return attach(drawn, cuts, [stratify], "__cut").select(*df.columns, (F.col("__draw") <= F.col("__cut")).alias("is_test"))
 
 
 def _fit_all(split: DataFrame, features: list[str], models: dict) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -67,7 +67,8 @@ def iqr_summary(flagged: DataFrame, bounds: DataFrame, columns: Sequence[str]) -
         *[F.count_if(F.col(f"{c}_outlier_iqr")).alias(c) for c in present],
     )
     counts = one.unpivot(["__rows"], present, "column", "n_outliers")
-    return bounds.join(counts, "column").select(
+    # a column without any value has no bounds and no outliers, but it stays in the report
+    return counts.join(bounds, "column", "left").select(
         "column", "lower_bound", "upper_bound", "n_outliers",
         percent(F.col("n_outliers"), F.col("__rows")).alias("pct_outliers"),
     )
@@ -91,7 +92,7 @@ def _grow(features: list[str], seed: int):
         """One tree over at most 256 rows; node i has the children 2i+1 and 2i+2."""
         tree = int(sample["tree"].iloc[0])
         # the order of rows inside a group is not fixed; the draws must not depend on it
-        data = sample.sort_values(["draw", "key"])[features].to_numpy(dtype="float64")
+        data = sample.sort_values(["draw", *features])[features].to_numpy(dtype="float64")
         limit = int(np.ceil(np.log2(max(len(data), 2))))
         rng = np.random.default_rng([seed, tree])
         nodes, todo = [], [(0, 0, np.arange(len(data)))]
@@ -113,85 +114,89 @@ def _grow(features: list[str], seed: int):
     return grow
 
 
-def isolation_input(df: DataFrame, key: str, features: Sequence[str], skewed: Sequence[str]) -> DataFrame:
-    """Key and filled features of the rows with enough values.
+def isolation_input(df: DataFrame, features: Sequence[str], skewed: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with one column more per feature, and their names: filled, or NULL in rows with too few values.
 
     Medians fill gaps for the model only. A missing value never reaches the master table.
     """
     present = [c for c in features if c in df.columns]
-    columns = [
-        (F.log1p(F.col(c)) if c in skewed else F.col(c)).cast("double").alias(c) for c in present
-    ]
-    numbers = df.select(F.col(key).alias("key"), *columns)
+    numbers = {c: (F.log1p(F.col(c)) if c in skewed else F.col(c)).cast("double") for c in present}
     enough = sum(F.col(c).isNotNull().cast("int") for c in present) >= max(3, int(len(present) * 0.6))
-    rows = numbers.where(enough)
+    rows = df.where(enough).select(*[v.alias(c) for c, v in numbers.items()])
     medians = exact_quantiles(_long(rows, present), "value", {"m": 0.5}, ["column"])
     packed = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "m")))).scalar()
-    return rows.withColumn("__m", packed).select(
-        "key", *[F.coalesce(F.col(c), F.element_at("__m", F.lit(c)), F.lit(0.0)).alias(c) for c in present]
-    )
+    filled = {
+        f"__iso_{c}": F.when(enough, F.coalesce(v, F.element_at("__m", F.lit(c)), F.lit(0.0))) for c, v in numbers.items()
+    }
+    return df.withColumn("__m", packed).withColumns(filled).drop("__m"), list(filled)
+
+
+_DRAWS = 1 << 63
+
+
+def isolation_pool(rows: DataFrame, n_rows: int, settings: Settings = DEFAULTS) -> tuple[DataFrame, int]:
+    """A pool a few times larger than all samples together, by one hash of 63 bits, and its expected size."""
+    wanted = min(n_rows, 4 * settings.iso_trees * settings.iso_sample)
+    return rows.where(_draw(settings.seed, F.lit(-1)) <= _DRAWS * wanted // n_rows - 1), wanted
+
+
+def _draw(seed: int, salt: Column) -> Column:
+    return F.xxhash64(F.lit(seed), salt, F.col("key")).bitwiseAND(F.lit(_DRAWS - 1))
 
 
 def isolation_nodes(rows: DataFrame, n_rows: int, settings: Settings = DEFAULTS) -> DataFrame:
-    """The trees as a node table.
+    """The trees over ``rows`` (key and features) as a node table.
 
     Every tree draws its rows by a hash of (seed, tree, key), so partitioning and retries do not
     change the sample, and only drawn rows reach the shuffle.
     """
     features = [c for c in rows.columns if c != "key"]
-    top = 1_000_003
-
-    def draw(salt: Column, key: str = "key") -> Column:
-        return F.pmod(F.xxhash64(F.lit(settings.seed), salt, F.col(key)), F.lit(top))
-
-    # one hash per row chooses a pool a few times larger than all samples together
-    pool_rows = min(n_rows, 4 * settings.iso_trees * settings.iso_sample)
-    pool = rows if pool_rows == n_rows else rows.where(draw(F.lit(-1)) < int(top * pool_rows / n_rows))
+    pool, pool_rows = isolation_pool(rows, n_rows, settings)
     # twice the rows a tree needs; fewer are left out below
-    limit = min(top, int(top * 2.0 * settings.iso_sample / pool_rows) + 1)
+    limit = min(_DRAWS, 2 * _DRAWS * settings.iso_sample // pool_rows) - 1
     trees = F.transform(
         F.sequence(F.lit(0), F.lit(settings.iso_trees - 1)),
-        lambda t: F.struct(t.alias("tree"), draw(t).alias("draw")),
+        lambda t: F.struct(t.alias("tree"), _draw(settings.seed, t).alias("draw")),
     )
-    drawn = pool.withColumn("t", F.explode(F.filter(trees, lambda s: s["draw"] < limit)))
+    drawn = pool.withColumn("t", F.explode(F.filter(trees, lambda s: s["draw"] <= limit)))
     sample = keep_first(
-        drawn.select("key", *features, "t.tree", "t.draw"),
-        ["tree"], [F.col("draw").asc(), F.col("key").asc()], n=settings.iso_sample,
+        drawn.select(*features, "t.tree", "t.draw"),
+        ["tree"], [F.col("draw").asc(), *[F.col(c).asc() for c in features]], n=settings.iso_sample,
     )
     return sample.groupBy("tree").applyInPandas(_grow(features, settings.seed), _NODES)
 
 
-def isolation_scores(rows: DataFrame, nodes: DataFrame, sample: int) -> DataFrame:
-    """``(key, iso_score)``. The model is bounded (trees times two nodes per sampled row), not the data."""
-    features = [c for c in rows.columns if c != "key"]
+def isolation_scorer(nodes: DataFrame, features: list[str], sample: int, trees: int) -> Column:
+    """The score of a row as a column. The model is bounded (trees times two nodes per sampled row), not the data."""
     model = nodes.toPandas()
     depth = int(np.ceil(np.log2(max(sample, 2))))
     width = 2 ** (depth + 1)
     order = {t: i for i, t in enumerate(sorted(model["tree"].unique()))}
+    if len(order) < trees:
+        raise ValueError(f"{trees - len(order)} of {trees} trees drew no rows")
     feature = np.full((len(order), width), -1, dtype=np.int32)
     cut, path = np.zeros((len(order), width)), np.zeros((len(order), width))
     at = model["tree"].map(order).to_numpy(), model["node"].to_numpy()
     feature[at], cut[at], path[at] = model["feature"], model["cut"], model["path"]
     scale = float(_path_constant(np.array(sample)))
-    shared = rows.sparkSession.sparkContext.broadcast((feature, cut, path))
+    shared = nodes.sparkSession.sparkContext.broadcast((feature, cut, path))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(x: pd.DataFrame) -> pd.Series:
         feature, cut, path = shared.value
-        for batch in batches:
-            data = batch[features].to_numpy(dtype="float64")
-            lane = np.arange(len(data))
-            total = np.zeros(len(data))
-            for t in range(len(feature)):
-                node = np.zeros(len(data), dtype=np.int64)
-                for _ in range(depth):
-                    f = feature[t, node]
-                    step = 2 * node + 1 + (data[lane, np.maximum(f, 0)] > cut[t, node])
-                    node = np.where(f >= 0, step, node)
-                total += path[t, node]
-            yield pd.DataFrame({"key": batch["key"], "iso_score": 2.0 ** (-total / len(feature) / scale)})
-
-    key_type = dict(rows.dtypes)["key"]
-    return rows.mapInPandas(score, f"key {key_type}, iso_score double")
+        data = x.to_numpy(dtype="float64")
+        lane = np.arange(len(data))
+        total = np.zeros(len(data))
+        for t in range(len(feature)):
+            node = np.zeros(len(data), dtype=np.int64)
+            for _ in range(depth):
+                f = feature[t, node]
+                step = 2 * node + 1 + (data[lane, np.maximum(f, 0)] > cut[t, node])
+                node = np.where(f >= 0, step, node)
+            total += path[t, node]
+        return pd.Series(2.0 ** (-total / len(feature) / scale))
+
+    return score(F.struct(*features))
 
 
 def isolation_forest(
@@ -204,22 +209,22 @@ def isolation_forest(
 ) -> DataFrame:
     """Adds ``multivariate_outlier_iso``: about the 3 % of scored rows that isolate most easily.
 
-    ``stage`` writes a table and reads it back: the filled features and the scores are read more
-    than once and neither should be computed again.
+    Rows are scored where they stand, so keys may repeat; ``key`` only draws the samples. ``stage`` writes
+    a table and reads it back: features and scores are read more than once.
     """
-    rows = spread(stage(isolation_input(df, key, features, skewed), "iso_input"))
-    n_rows = rows.count()
+    filled, names = isolation_input(df, features, skewed)
+    rows = spread(stage(filled, "iso_input"))
+    usable = rows.where(F.col(names[0]).isNotNull())
+    n_rows = usable.count()
     if n_rows < settings.iso_min_rows:
         return df.withColumn("multivariate_outlier_iso", F.lit(False))
-    nodes = isolation_nodes(rows, n_rows, settings)
-    scores = stage(isolation_scores(rows, nodes, min(settings.iso_sample, n_rows)), "iso_scores")
-    cut = exact_quantiles(scores, "iso_score", {"cut": 1.0 - settings.iso_contamination}).select("cut").scalar()
-    flagged = scores.where(F.col("iso_score") > cut).select(
-        F.col("key").alias(key), F.lit(True).alias("multivariate_outlier_iso")
-    )
-    return df.join(flagged, key, "left").withColumn(
-        "multivariate_outlier_iso", F.coalesce("multivariate_outlier_iso", F.lit(False))
-    )
+    nodes = isolation_nodes(usable.select(F.col(key).alias("key"), *names), n_rows, settings)
+    score = isolation_scorer(nodes, names, min(settings.iso_sample, n_rows), settings.iso_trees)
+    scored = rows.withColumn("__iso_score", F.when(F.col(names[0]).isNotNull(), score)).drop(*names)
+    scored = stage(scored, "iso_scores")
+    cut = exact_quantiles(scored, "__iso_score", {"cut": 1.0 - settings.iso_contamination}).select("cut").scalar()
+    flag = F.coalesce(F.col("__iso_score") > cut, F.lit(False))
+    return scored.withColumn("multivariate_outlier_iso", flag).drop("__iso_score")
 
 
 def flag_columns(df: DataFrame) -> list[str]:

@@ -17,6 +17,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 10_000
+SALTS = 64
 
 
 def exact_quantiles(
@@ -39,7 +40,7 @@ def exact_quantiles(
     margin = 2.0 / ACCURACY
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in levels for d in (-margin, margin)})
     sketch = F.percentile_approx("__v", cuts, F.lit(ACCURACY))
-    marked = _attach(rows, rows.groupBy(*by).agg(sketch.alias("__cuts")), by, "__cuts")
+    marked = attach(rows, rows.groupBy(*by).agg(sketch.alias("__cuts")), by, "__cuts")
     slot = sum((F.col("__v") > F.col("__cuts")[i]).cast("int") for i in range(len(cuts)))
     edges = ["__lo", "__hi"]  # NULL: open end
     sliced = marked.select(
@@ -87,7 +88,7 @@ def exact_quantiles(
     # a plain comparison drops nearly all rows before the array is looked into
     ends = [F.get("__ranges", F.lit(k)) for k in range(2 * len(levels))]
     in_some = reduce(or_, [r.isNotNull() & holds(r) for r in ends])
-    near = _attach(rows, ranges, by, "__ranges").where(in_some).select(
+    near = attach(rows, ranges, by, "__ranges").where(in_some).select(
         *by, "__v", F.explode(F.filter("__ranges", holds)).alias("r")
     )
     keys = [*by, *edges]
@@ -113,9 +114,16 @@ def exact_quantiles(
     )
 
 
-def _attach(rows: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
-    """Adds a column of facts per group; without groups it is one value and needs no join."""
-    return rows.join(facts, by) if by else rows.withColumn(column, facts.select(column).scalar())
+def attach(rows: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
+    """Adds a column of facts per group; without groups it is one value and needs no join.
+
+    With groups the facts are repeated ``SALTS`` times and the rows dealt over them by the partition
+    they come from, so that a join by shuffle has no hot group. Small facts are broadcast by Spark itself.
+    """
+    if not by:
+        return rows.withColumn(column, facts.select(column).scalar())
+    copies = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", F.spark_partition_id() % SALTS).join(copies, [*by, "__salt"]).drop("__salt")
 
 
 def mean_median_count(

@@ -30,12 +30,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint folder.
 
-    A private folder is made only where the session names none, as in tests.
+    A temporary folder is made only in local mode, where driver and executors share one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="fusework-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")
 
 

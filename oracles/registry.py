@@ -1146,7 +1146,7 @@ _RAW_A = ["row_id", *_CAT_A, "vote_count"]
             "rows_after": "count(*)",
             "null_cells_before": f"max((SELECT {_null_cells(_RAW_A)} FROM cat_a) + (SELECT {_null_cells(_CSV_COLUMNS)} FROM cat_b))",
             "null_cells_after": _null_cells(_MASTER_COLUMNS),
-            "dqs_mean_after": "round(avg(data_quality_score), 4)",
+            "dqs_mean_after": "(2 * sum(round(data_quality_score * 10000)::bigint) + count(data_quality_score)) // (2 * count(data_quality_score)) / 10000.0",
             "dqs_median_after": "round(quantile_cont(data_quality_score, 0.5), 4)",
             "merged_pct_after": "round(avg((record_type = 'merged')::int) * 100, 4)",
         },
@@ -1462,8 +1462,8 @@ def revenue_models(spark, sf_dir):
 @register(
     "content_text",
     "SELECT movie_master_id, concat_ws(' ', array_to_string(genres_list, ' '), "
-    "CASE WHEN trim(keywords) NOT IN ('', 'nan') THEN substr(trim(keywords), 1, 200) END, "
-    "CASE WHEN trim(overview) NOT IN ('', 'nan') THEN substr(trim(overview), 1, 300) END) AS content_text "
+    "CASE WHEN trim(keywords) NOT IN ('', 'nan') THEN trim(keywords) END, "
+    "CASE WHEN trim(overview) NOT IN ('', 'nan') THEN trim(overview) END) AS content_text "
     "FROM master WHERE title_display IS NOT NULL",
 )
 def content_text(spark, sf_dir):
@@ -1475,7 +1475,7 @@ def _tfidf(source: str, key: str, text: str) -> dict[str, str]:
         "words": f"SELECT {key} AS key, regexp_extract_all(lower({text}), '{E.TOKEN}') AS w FROM {source}",
         "terms": "SELECT key, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat_ws(' ', w[i], w[i + 1])))) AS term FROM words",
         "counts": "SELECT key, term, count(*) AS tf FROM terms GROUP BY 1, 2",
-        "vocab": "SELECT term, count(*) AS df FROM counts GROUP BY 1 HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 5000",
+        "vocab": "SELECT term, count(*) AS df FROM counts GROUP BY 1 HAVING count(*) >= 2",
         "weighted": f"SELECT key, term, tf * (ln((1 + (SELECT count(*) FROM {source}))::double / (1 + df)) + 1) AS w FROM counts JOIN vocab USING (term)",
         "features": "SELECT key, term, w / sqrt(sum(w * w) OVER (PARTITION BY key)) AS weight FROM weighted",
     }

@@ -211,6 +211,32 @@ def test_isolation_forest_flags_planted_rows_and_is_stable(spark):
     assert flagged(df.repartition(11)) == first
 
 
+def test_isolation_forest_keeps_rows_with_repeated_keys(spark):
+    from fusework.session import StageStore
+
+    rng = random.Random(5)
+    rows = [(i % 40, rng.gauss(0, 1), rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k bigint, a double, b double, c double")
+    out = outliers.isolation_forest(df, "k", StageStore(spark).save, ["a", "b", "c"], [])
+    assert out.count() == 300 and out.drop("multivariate_outlier_iso").exceptAll(df).count() == 0
+
+
+def test_isolation_pool_of_a_very_large_table_is_not_empty(spark):
+    # a hundred million keys stand for a table a thousand times their number
+    settings = Settings(iso_trees=100, iso_sample=256)
+    pool, wanted = outliers.isolation_pool(spark.range(100_000_000).withColumnRenamed("id", "key"), 10**11, settings)
+    assert wanted == 102_400 and 50 < pool.count() < 180
+    rare, _ = outliers.isolation_pool(spark.range(10).withColumnRenamed("id", "key"), 10**12, settings)
+    assert rare.count() == 0
+
+
+def test_iqr_summary_keeps_a_column_without_values(spark):
+    df = spark.createDataFrame([(float(i), None) for i in range(20)] + [(900.0, None)], "a double, b double")
+    bounds = outliers.iqr_bounds(df, ["a", "b"])
+    got = {r["column"]: r for r in outliers.iqr_summary(outliers.iqr_flags(df, ["a", "b"], bounds), bounds, ["a", "b"]).collect()}
+    assert got["a"]["n_outliers"] == 1 and got["b"]["n_outliers"] == 0 and got["b"]["lower_bound"] is None
+
+
 def test_split_is_stratified_and_stable(spark):
     df = spark.range(4000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 10 == 0).alias("y"))
     split = models.train_test_split(df, "k", stratify="y")
