@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fusework.llm import bpe, language_id, line_dedup, mixing, near_duplicates
 from fusework.llm.queries import tokenizer_path
-from fusework.llm.textbatch import stored
+from fusework.llm.textbatch import WORD, stored
 
 #: Below this score no learned language fits: most letters are foreign to all of them.
 LEAST_SCORE = 0.25
@@ -22,13 +22,17 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand, up to two edits, in an earlier place."""
-    return line_dedup.dedup_lines(docs)
+    """Documents without the lines that stand, up to two edits, in an earlier place; those that lose all their words go.
+
+    ``whole_text`` is the text with all its lines, for the next stage.
+    """
+    cut = line_dedup.dedup_lines(docs, whole="whole_text")
+    return cut.where(F.col("text").rlike(WORD) | ~F.coalesce(F.col("whole_text").rlike(WORD), F.lit(False)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class."""
-    return near_duplicates.drop_near_duplicates(docs)
+    """One document of each near-duplicate class of the texts, and of the texts as they were before line dedup."""
+    return near_duplicates.drop_near_duplicates(docs, whole="whole_text")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

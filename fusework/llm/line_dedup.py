@@ -221,10 +221,11 @@ def _hashes() -> list[Column]:
     return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit("second"), F.col("line")).alias("h2")]
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, whole: str | None = None) -> DataFrame:
     """``docs`` with the removed lines cut out of ``text`` and ``n_chars``, if it has it, counted anew.
 
-    Every row stays, with all its columns; a text may become empty. NULL texts stay NULL.
+    Every row stays, with all its columns; a text may become empty. NULL texts stay NULL. ``whole`` names a
+    column to add: the text with all its lines.
     """
     gone = removed_lines(docs.select("doc_id", "text"), edits, min_chars).groupBy("uid").agg(F.collect_set("line_no").alias("gone"))
     boxed = docs.select(F.struct("*").alias("doc"), F.xxhash64("doc_id", "text").alias("uid"))
@@ -241,4 +242,6 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
             columns.append(F.char_length("_text").cast(docs.schema[name].dataType).alias(name))
         else:
             columns.append(F.col("doc").getField(name).alias(name))
+    if whole:
+        columns.append(F.col("doc.text").alias(whole))
     return joined.withColumn("_text", text).select(*columns)

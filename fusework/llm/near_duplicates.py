@@ -327,12 +327,21 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, tolera
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, whole: str | None = None) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its class, with all their columns.
 
-    Rows with a NULL id stay, and so do texts without words. Rows that repeat a kept id stay too.
+    ``whole`` names a column with the texts before lines were cut out of them: an id must be the smallest
+    of its class by these texts too, and the column is dropped. Rows with a NULL id stay, and so do texts
+    without words. Rows that repeat a kept id stay too.
     """
-    keep = near_duplicate_classes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).where("doc_id = class_id")
+    def smallest(column: str) -> DataFrame:
+        classes = near_duplicate_classes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).alias("text")))
+        return classes.where("doc_id = class_id").select(F.col("doc_id").alias("id"))
+
+    keep = smallest("text")
+    if whole:
+        keep = keep.join(smallest(whole), "id", "left_semi")
+        docs = docs.drop(whole)
     boxed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"))
-    kept = boxed.join(keep.select(F.col("doc_id").alias("id")), "id", "left_semi")
+    kept = boxed.join(keep, "id", "left_semi")
     return kept.unionByName(boxed.where("id IS NULL")).select("doc.*")

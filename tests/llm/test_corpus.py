@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from check import rows_of
 from fusework.llm import bpe, html_extract, language_id, line_dedup, mixing, near_duplicates, quality_rules, substring_dedup, vector_search
 from fusework.llm.queries import QUERIES, SQL, tokenizer_path
@@ -203,3 +204,24 @@ def test_search_with_odd_vectors(spark):
         clip = lambda s: max(1 - (1 << 63), min((1 << 63) - 1, s))
         best = sorted((-clip(sum(a * b for a, b in zip(vectors[q], v))), i) for i, v in vectors.items() if i != q)[:3]
         assert [(-r.score, r.vec_id) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == best
+
+
+def test_one_document_of_each_group_of_copies_reaches_the_mix(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    docs, group = [], {}
+    for g in range(12):
+        lines = [[word() for _ in range(12)] for _ in range(12)]
+        for k in range(15):
+            mine = [list(x) for x in lines]
+            if g % 2:  # near copies: a line or two with two other words, which line dedup leaves
+                for line in rng.sample(mine, k % 3):
+                    line[rng.randrange(12)] = word() + word()
+            i = 100 * k + g
+            group[i] = g
+            docs.append((i, "\n".join(" ".join(x) for x in mine), "en", f"s{g % 3}", 0))
+    lone = [(9000 + i, "\n".join(" ".join(word() for _ in range(12)) for _ in range(5)), "en", "s1", 0) for i in range(5)]
+    df = spark.createDataFrame([*docs, *lone, (9900, None, None, None, None)], DOC)
+    out = corpus_pipeline.drop_near_duplicates(spark, corpus_pipeline.drop_repeated_lines(spark, df, ""), "")
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == [*range(12), *[r[0] for r in lone], 9900]
