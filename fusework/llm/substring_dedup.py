@@ -1,11 +1,11 @@
-"""Substring deduplication by content-defined chunking.
-
-A gear hash rolls over the bytes of a text; it depends on the last 16 bytes only. A chunk ends before a
-word where the hash is small, unless the candidate cut before is too near. So cuts depend on what
-stands around them and not on where it stands: an insertion moves no cut beyond its neighbourhood,
-and a passage has the same chunks wherever it is. Chunks are compared by digest over all documents.
-Repeated chunks that follow each other here as in the document that keeps them are one passage;
-passages of ``LEAST_WORDS`` words or more are reported and can be cut out.
+"""Substring deduplication by winnowed windows of words.
+
+Every run of ``WINDOW`` words is hashed over its bytes; of each ``REACH`` consecutive windows the one with the
+smallest hash is picked, and the first and last window of a text are picked too. What is picked depends on
+the words there alone, so two texts that share a passage pick the same windows in it: a passage of
+``WINDOW + REACH - 1`` words or more has one at least, wherever it stands and whatever stands around it.
+Picked windows are compared by digest over all documents. Windows that overlap here as in the document
+that keeps them are one passage, which is equal byte for byte there; passages can be cut out.
 """
 
 from __future__ import annotations
@@ -14,57 +14,47 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from fusework.llm.textbatch import SPACES, bounded_batches, pieces, span_hashes, stored, word_spans
+from fusework.llm.textbatch import bounded_batches, pieces, span_hashes, stored, word_spans
 
-ONE_IN = 4  # words that start a chunk, on the average
-LEAST_BYTES = 16  # distance to the candidate cut before
-LEAST_WORDS = 16  # of a reported passage: longer than a common line
+WINDOW = 16  # words compared as one, and of a reported passage: longer than a common line
+REACH = 10  # windows of which one is picked
+LEAST_WORDS = WINDOW
 
 
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """Sum of gear[byte] << age over the last 16 bytes, by doubling."""
-    gear = np.random.default_rng(1901).integers(0, 1 << 32, 256, np.uint32)
-    h = gear[data]
-    span = 1
-    while span < 16:
-        older = np.zeros_like(h)
-        older[span:] = h[:-span] << np.uint32(span)
-        h = h + older
-        span *= 2
-    return h
+def picked(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Places of the windows to compare; ``rows`` are sorted. Of equal hashes the last is picked.
 
-
-def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row, number of words, number of its first word in the row) of each chunk of a piece.
-
-    Chunks run from a word's start to the next chunk's first word; white space at the end is left out.
+    In text that repeats itself, picks that follow each other are equal: of these, the first of each half
+    ``REACH`` is enough, as the digest stays and what is left still overlaps.
     """
-    starts, ends, rows = word_spans(data, offsets)
-    if not len(starts):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none, none
-    # the hash over the bytes that end with a word and the white space after it
-    low = gear_hashes(data)[starts - (starts > 0)] >> np.uint32(8)
-    first = np.ones(len(starts), bool)
-    first[1:] = rows[1:] != rows[:-1]
-    cut = (low % np.uint32(ONE_IN) == 0) & ~first
-    # rows meet in a piece: a hash that reaches back into another row must not decide
-    cut &= starts - offsets[rows] > 16
-    places = np.flatnonzero(cut)
-    near = np.zeros(len(places), bool)
-    near[1:] = (starts[places[1:]] - starts[places[:-1]] < LEAST_BYTES) & (rows[places[1:]] == rows[places[:-1]])
-    cut[places[near]] = False
-    begin = np.flatnonzero(cut | first)
-    words = np.diff(np.concatenate([begin, [len(starts)]]))
-    word_of_row = np.searchsorted(rows, rows[begin])
-    return starts[begin], ends[begin + words - 1], rows[begin], words, begin - word_of_row
-
-
-def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, uid, seq, start, size (bytes), words, word (first word's number), digest of every chunk.
-
-    uid tells documents with one doc_id apart. Chunks are compared byte for byte by a 64-bit digest,
-    white space included. Texts without words, and NULL, have none.
+    n = len(hashes)
+    if not n:
+        return np.zeros(0, np.int64)
+    take = np.ones(n, bool)
+    take[1:] = rows[1:] != rows[:-1]
+    take[:-1] |= rows[1:] != rows[:-1]
+    take[-1] = True
+    whole = np.flatnonzero(rows[: n - REACH + 1] == rows[REACH - 1 :]) if n >= REACH else np.zeros(0, np.int64)
+    best = whole.copy()
+    for k in range(1, REACH):
+        best = np.where(hashes[whole + k] <= hashes[best], whole + k, best)
+    chosen = np.zeros(n, bool)
+    chosen[best] = True
+    at = np.flatnonzero(chosen)
+    if len(at):
+        new = np.ones(len(at), bool)
+        new[1:] = (hashes[at[1:]] != hashes[at[:-1]]) | (rows[at[1:]] != rows[at[:-1]])
+        block = (at - at[np.flatnonzero(new)[np.cumsum(new) - 1]]) // (REACH // 2)
+        new[1:] |= block[1:] != block[:-1]
+        take[at[new]] = True
+    return np.flatnonzero(take)
+
+
+def windows(docs: DataFrame) -> DataFrame:
+    """doc_id, uid, word (number of the first word), start, size (bytes), digest of every picked window.
+
+    uid tells documents with one doc_id apart. Windows are compared byte for byte by a 64-bit digest,
+    white space included. Texts of fewer than ``WINDOW`` words, and NULL, have none.
     """
     bounded_batches(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
@@ -72,17 +62,22 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for batch, data, offsets in pieces(batches):
-            start, end, row, words, word = chunk_starts(data, offsets)
-            ids = batch.column("doc_id").take(pa.array(row))
-            uids = batch.column("uid").take(pa.array(row))
-            seq = np.arange(len(row)) - np.searchsorted(row, row)
+            starts, ends, row = word_spans(data, offsets)
+            n = max(0, len(starts) - WINDOW + 1)
+            at = np.flatnonzero(row[:n] == row[WINDOW - 1 :]) if n else np.zeros(0, np.int64)
+            hashes = span_hashes(data, starts[at], ends[at + WINDOW - 1])
+            pick = picked(hashes, row[at])
+            at, hashes = at[pick], hashes[pick]
+            owner, start = row[at], starts[at]
+            word = at - np.searchsorted(row, owner)
             yield pa.RecordBatch.from_arrays(
-                [ids, uids, *[pa.array(v.astype(np.int32)) for v in (seq, start - offsets[row], end - start, words, word)],
-                 pa.array(span_hashes(data, start, end).view(np.int64))],
-                ["doc_id", "uid", "seq", "start", "size", "words", "word", "digest"],
+                [batch.column("doc_id").take(pa.array(owner)), batch.column("uid").take(pa.array(owner)),
+                 *[pa.array(v.astype(np.int32)) for v in (word, start - offsets[owner], ends[at + WINDOW - 1] - start)],
+                 pa.array(hashes.view(np.int64))],
+                ["doc_id", "uid", "word", "start", "size", "digest"],
             )
 
-    return rows.mapInArrow(work, f"doc_id {key}, uid bigint, seq int, start int, size int, words int, word int, digest bigint")
+    return rows.mapInArrow(work, f"doc_id {key}, uid bigint, word int, start int, size int, digest bigint")
 
 
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -90,25 +85,29 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
 
     doc_id, uid, start, size (bytes), word, n_words, kept_doc_id, kept_start. The first occurrence by
     (doc_id, uid, place), NULL ids first, is kept and gets no row. Rows equal in id and text are one document.
+    Where parts of a passage stand first in different documents, each part is a row, and rows may overlap.
     """
-    every = stored(chunks(docs), "chunks")
+    every = stored(windows(docs), "windows")
     common = every.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
     hits = every.join(common, "digest")
-    own = F.struct("doc_id", "uid", "seq", "start")
+    own = F.struct("doc_id", "uid", "word", "start")
     keepers = hits.groupBy("digest").agg(F.min(own).alias("kept"))
     again = hits.join(keepers, "digest").where(~F.col("kept").eqNullSafe(own)).select(
-        "doc_id", "uid", "seq", "start", "size", "words", "word",
+        "doc_id", "uid", "word", "start", "size",
         F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.uid").alias("kept_uid"), F.col("kept.start").alias("kept_start"),
-        (F.col("kept.seq") - F.col("seq")).alias("apart"),
-    ).distinct()
-    # chunks in a row, here as there, have one difference of numbers and fall on consecutive numbers
-    lane = W.partitionBy("doc_id", "uid", "kept_doc_id", "kept_uid", "apart").orderBy("seq")
-    runs = again.withColumn("run", F.col("seq") - F.row_number().over(lane))
+        (F.col("kept.word") - F.col("word")).alias("apart"),
+    )
+    # windows that share a word, here as there, have one difference of numbers; repeated rows change no run
+    same = ["doc_id", "uid", "kept_doc_id", "kept_uid", "apart"]
+    lane = W.partitionBy(*same).orderBy("word")
+    new = F.coalesce(F.col("word") - F.lag("word").over(lane) >= WINDOW, F.lit(True))
+    runs = again.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(lane))
     return (
-        runs.groupBy("doc_id", "uid", "kept_doc_id", "kept_uid", "apart", "run")
+        runs.groupBy(*same, "run")
         .agg(
             F.min("start").alias("start"), (F.max(F.col("start") + F.col("size")) - F.min("start")).alias("size"),
-            F.min("word").alias("word"), F.sum("words").alias("n_words"), F.min("kept_start").alias("kept_start"),
+            F.min("word").alias("word"), (F.max("word") - F.min("word") + WINDOW).cast("long").alias("n_words"),
+            F.min("kept_start").alias("kept_start"),
         )
         .where(F.col("n_words") >= least_words)
         .select("doc_id", "uid", "start", "size", "word", "n_words", "kept_doc_id", "kept_start")

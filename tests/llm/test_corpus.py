@@ -225,3 +225,29 @@ def test_one_document_of_each_group_of_copies_reaches_the_mix(spark):
     out = corpus_pipeline.drop_near_duplicates(spark, corpus_pipeline.drop_repeated_lines(spark, df, ""), "")
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == [*range(12), *[r[0] for r in lone], 9900]
+
+
+def test_passages_with_common_chunks(spark):
+    rng = random.Random(5)
+    pool = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8))) for _ in range(5000)]
+    common = [" ".join(rng.choices(pool, k=rng.randint(3, 7))) for _ in range(20)]
+    words = lambda n: " ".join(rng.choices(pool, k=n))
+    docs, size = [(i, f"{words(30)} {c} {words(30)}") for i, c in enumerate(common)], {}
+    for i in range(300):
+        n = rng.randint(51, 60)
+        passage = words(n).split()
+        for _ in range(3):
+            at = rng.randrange(n - 7)
+            piece = rng.choice(common).split()
+            passage[at : at + len(piece)] = piece
+        size[2000 + i] = n
+        for k in (1000 + i, 2000 + i):
+            docs.append((k, " ".join([words(rng.randint(1, 80)), *passage, words(rng.randint(1, 80))])))
+    rows = substring_dedup.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    text = {k: t.encode() for k, t in docs}
+    covered = {k: set() for k in size}
+    for r in rows:
+        assert text[r.doc_id][r.start : r.start + r.size] == text[r.kept_doc_id][r.kept_start : r.kept_start + r.size]
+        assert len(text[r.doc_id][r.start : r.start + r.size].split()) == r.n_words >= 16
+        covered[r.doc_id] |= set(range(r.word, r.word + r.n_words))
+    assert all(len(covered[k]) >= n - 2 * (substring_dedup.REACH - 1) for k, n in size.items())
