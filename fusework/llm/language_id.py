@@ -24,7 +24,7 @@ UNDETERMINED = "und"
 SEGMENT = 256
 SAMPLE_DOCS = 64  # labelled rows per language at most
 SAMPLE_CHARS = 16_000  # characters per language at most, spread evenly over its rows
-ALPHABET = 60  # most letters told apart
+ALPHABET = 60  # most frequent letters, whose transitions stand in a table; those of all others in a sorted list
 
 _UNKNOWN, _SPACE = 0, 1
 
@@ -65,10 +65,16 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class LanguageModel:
-    """The automata of all languages in one table; entries are row starts, 0 means no transition."""
+    """The automata of all languages; entries are row starts of the table, 0 means no transition.
+
+    ``table`` has the transitions by codes below ``width``. ``arcs`` lists those by higher codes as row start
+    * number of codes + code, sorted, and ``ends`` where they lead.
+    """
 
     languages: list[str]
     table: np.ndarray
+    arcs: np.ndarray
+    ends: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
     letters: dict[str, int]
@@ -79,7 +85,7 @@ class LanguageModel:
 
 def code_tables(letters: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """(code, is a letter) of every code point; all that is no letter is white space."""
-    codes = np.full(0x110000, _SPACE, np.uint8)
+    codes = np.full(0x110000, _SPACE, np.min_scalar_type(len(letters) + 2))
     alpha = np.zeros(0x110000, bool)
     for cp in range(0x110000):
         ch = chr(cp)
@@ -112,17 +118,17 @@ def fit_language_model(docs: DataFrame, label: str = "lang", sample_docs: int =
             for ch in text.lower():
                 if ch.isalpha():
                     counts[ch] = counts.get(ch, 0) + 1
-    kept = sorted(counts, key=lambda c: (-counts[c], c))[:ALPHABET]
-    letters = {c: i + 2 for i, c in enumerate(kept)}
-    width = len(letters) + 2
-    languages, tables, roots, bits, at = sorted(samples), [], [], [], 0
+    letters = {c: i + 2 for i, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c)))}
+    span = len(letters) + 2
+    width = min(span, ALPHABET + 2)
+    languages, tables, rare, roots, bits, at = sorted(samples), [], [], [], [], 0
     for language in languages:
         codes: list[int] = []
         budget = sample_chars // max(1, len(samples[language]))
         for text in samples[language]:
             part = []
             for ch in text.lower():
-                code = letters.get(ch, _UNKNOWN) if ch.isalpha() else _SPACE
+                code = letters[ch] if ch.isalpha() else _SPACE
                 if code != _SPACE or not part or part[-1] != _SPACE:
                     part.append(code)
             codes += part[:budget]
@@ -130,13 +136,17 @@ def fit_language_model(docs: DataFrame, label: str = "lang", sample_docs: int =
         table = np.zeros((len(states), width), np.int32)
         for state, arcs in enumerate(states):
             for code, to in arcs.items():
-                if code != _UNKNOWN:
+                if code < width:
                     table[state, code] = (at + to) * width
+                else:
+                    rare.append(((at + state) * width * span + code, (at + to) * width))
         tables.append(table.ravel())
         roots.append(at * width)
         bits.append(np.log2(max(2, len(codes))))
         at += len(states)
+    rare.sort()
     return LanguageModel(languages, np.concatenate(tables) if tables else np.zeros(0, np.int32),
+                         np.array([k for k, _ in rare], np.int64), np.array([v for _, v in rare], np.int32),
                          np.array(roots, np.int32), np.array(bits), letters, width, *code_tables(letters))
 
 
@@ -153,6 +163,19 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return points, starts
 
 
+def follow(model: LanguageModel, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Where the transitions from ``state`` by ``codes`` (of its last axis) lead; 0 where there is none."""
+    if not len(model.arcs):
+        return model.table[state + codes]
+    rare = codes >= model.width
+    to = model.table[state + np.where(rare, _UNKNOWN, codes)]  # nothing leads on from _UNKNOWN
+    if rare.any():
+        key = state[..., rare].astype(np.int64) * (len(model.letters) + 2) + codes[rare]
+        at = np.minimum(np.searchsorted(model.arcs, key), len(model.arcs) - 1)
+        to[..., rare] = np.where(model.arcs[at] == key, model.ends[at], 0)
+    return to
+
+
 def parse(model: LanguageModel, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Phrases of each row in each language: (languages, rows). starts: where rows begin in codes."""
     n_rows = len(starts) - 1
@@ -172,11 +195,11 @@ def parse(model: LanguageModel, codes: np.ndarray, starts: np.ndarray) -> np.nda
         n = active[t]
         c = codes[begin[:n] + t]
         now = state[:, :n]
-        to = model.table[now + c]
+        to = follow(model, now, c)
         missed = np.flatnonzero(to == 0)
         if len(missed):
             lang, col = np.divmod(missed, n)
-            again = model.table[root[lang, col] + c[col]]
+            again = follow(model, root[lang, col], c[col])
             # the phrase so far ends; a letter unknown to the language is a phrase of its own
             phrases[lang, col] += (now[lang, col] != root[lang, col]).astype(np.int32) + (again == 0)
             to[lang, col] = np.where(again == 0, root[lang, col], again)

@@ -251,3 +251,40 @@ def test_passages_with_common_chunks(spark):
         assert len(text[r.doc_id][r.start : r.start + r.size].split()) == r.n_words >= 16
         covered[r.doc_id] |= set(range(r.word, r.word + r.n_words))
     assert all(len(covered[k]) >= n - 2 * (substring_dedup.REACH - 1) for k, n in size.items())
+
+
+def test_languages_of_many_letters(spark):
+    rng = random.Random(6)
+    han = [chr(0x4E00 + 7 * i) for i in range(900)]
+    pools = {
+        "ru": ["".join(rng.choices("абвгдежзийклмнопрстуфхцчшщыьэюя", k=rng.randint(2, 9))) for _ in range(300)],
+        "el": ["".join(rng.choices("αβγδεζηθικλμνξοπρστυφχψω", k=rng.randint(2, 9))) for _ in range(300)],
+        "en": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(300)],
+        "zh": ["".join(rng.choices(han[:500], k=2)) for _ in range(300)],
+        "yue": ["".join(rng.choices(han[400:], k=2)) for _ in range(300)],
+    }
+    docs = [(100 * k + i, " ".join(rng.choices(pool, k=150)), lang) for k, (lang, pool) in enumerate(pools.items()) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(df.where("doc_id % 100 < 40"))
+    assert len(model.letters) > 700 and model.width == language_id.ALPHABET + 2
+    rows = language_id.identify_languages(df.where("doc_id % 100 >= 40").drop("lang"), model).collect()
+    names = list(pools)
+    assert len(rows) == 100 and all(r.lang_pred == names[r.doc_id // 100] and r.score > 0.5 for r in rows)
+    # phrases as in a parse by plain search
+    text = docs[-1][1][:256]
+    codes = model.codes[[ord(c) for c in text]]
+    found = language_id.parse(model, codes, np.array([0, len(codes)]))[:, 0]
+    sample = "".join(sample_of(df, "yue"))
+    count, at = 0, 0
+    while at < len(text):
+        end = at + 1
+        while end < len(text) and text[at : end + 1] in sample:
+            end += 1
+        count, at = count + 1, end
+    assert found[model.languages.index("yue")] == count
+
+
+def sample_of(df, lang):
+    rows = df.where((F.col("lang") == lang) & (F.col("doc_id") % 100 < 40)).orderBy(F.xxhash64("doc_id", "text"), "doc_id").collect()
+    budget = language_id.SAMPLE_CHARS // len(rows)
+    return [r.text[: 4 * (language_id.SAMPLE_CHARS // language_id.SAMPLE_DOCS)][:budget] for r in rows]
