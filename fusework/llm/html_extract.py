@@ -127,13 +127,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if depth and nodes[stack[depth]].tag == "p":
                 del stack[depth:]
         attributes = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(match[3])} if match[3].strip() else {}
-        label = attributes.get("data-content")
+        label = {"0": 0, "1": 1}.get(attributes.get("data-content"))  # pages use the attribute for text of their own too
         words = frozenset(
             w.lower() for a in ("class", "id", "role", "itemprop", "aria-label") if a in attributes for w in PART.findall(attributes[a])
         )
         if "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", ""):
             words |= {"hidden"}
-        nodes.append(Node(tag, stack[-1], words, None if label is None else int(label)))
+        nodes.append(Node(tag, stack[-1], words, label))
         if match[3].endswith("/") and tag in ("svg", "path"):
             continue
         stack.append(len(nodes) - 1)

@@ -288,3 +288,10 @@ def sample_of(df, lang):
     rows = df.where((F.col("lang") == lang) & (F.col("doc_id") % 100 < 40)).orderBy(F.xxhash64("doc_id", "text"), "doc_id").collect()
     budget = language_id.SAMPLE_CHARS // len(rows)
     return [r.text[: 4 * (language_id.SAMPLE_CHARS // language_id.SAMPLE_DOCS)][:budget] for r in rows]
+
+
+def test_pages_with_text_in_the_training_mark(spark):
+    rows = [(1, "u", '<p data-content="some text">Words of a page.</p>'), (2, "u", '<p data-content="">Words of a page.</p>'),
+            (3, "u", "<p data-content>Words of a page.</p>"), (4, "u", "<p>Words of a page.</p>")]
+    found = html_extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len({r.text for r in found}) == 1 and len(found) == 4
