@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fusework.llm import (
-    bpe, html_extract, language_id, line_dedup, mixing, near_duplicates, quality_classifier, quality_rules, substring_dedup,
-    vector_search,
+    best_fit_packing, bpe, html_extract, language_id, line_dedup, mixing, near_duplicates, periodic_runs, quality_classifier,
+    quality_rules, spelling_variants, substring_dedup, vector_search,
 )
 from fusework.llm.sql import OP1_SQL, OP4_SQL, OP10_SQL
-from fusework.llm.textbatch import stored, word_count
+from fusework.llm.textbatch import stored, word_count, words_column
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,47 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text, where a tenth of the texts, by a hash of doc_id, repeat some of their words. A NULL id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    start, period = F.expr("g % n"), F.expr("1 + floor((n - g % n) / (3 + g % 8))")
+    turned = F.transform("words", lambda w, i: F.when(i < start, w).otherwise(F.get("words", (start + (i - start) % period).cast("int"))))
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.coalesce(h % 10 == 0, F.lit(False)).alias("hit"))
+    rows = rows.withColumn("words", F.when(F.col("hit"), words_column(F.col("text")))).withColumn("n", F.size("words"))
+    return rows.select("doc_id", F.when(F.col("hit") & (F.col("n") > 0), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every document, the greatest of them, and digests of all runs and of the collapsed text."""
+    found = periodic_runs.periodic_runs(planted_periods(table(spark, sf_dir, "documents")))
+    # runs stand by start and period, and only a greater exponent displaces one
+    best = F.reduce(
+        F.expr("slice(runs, 2, greatest(size(runs) - 1, 0))"), F.get("runs", 0),
+        lambda best, x: F.when(x["length"] * best["period"] > best["length"] * x["period"], x).otherwise(best),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent spelling, near words and root of every word of all documents; every 31st run, by a hash, loses a letter."""
+    runs = spelling_variants.letter_runs(table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    cut = F.expr("concat(substring(run, 1, int(h % length(run))), substring(run, int(h % length(run)) + 2))")
+    words = runs.withColumn("h", h).select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"))
+    return spelling_variants.group_variants(spelling_variants.count_words(words))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 tokens that hold all documents."""
+    pieces = best_fit_packing.cut_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return best_fit_packing.pack_pieces(pieces)
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -90,7 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_top_k, op2_quality_classifier, op3_substring_dedup, op4_quality_rules, op5_line_dedup, op6_language_id, op7_bpe,
-        op8_html_extraction, op9_jaccard_join, op10_mixing,
+        op8_html_extraction, op9_jaccard_join, op10_mixing, op11_periodic_runs, op12_spelling_variants, op13_best_fit_packing,
     )
 }
 
