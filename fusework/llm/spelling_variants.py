@@ -10,7 +10,9 @@ A word of two halves has its only edit in one of them, so a trie of the words an
 walked, each entered at the half of a word: an edit never branches near the root, where all letters go on.
 Deletions are insertions seen from the other word; of two words that differ in one letter one finds the other.
 
-Nodes are named by three prefix hashes modulo primes below 2^31, with depth and direction.
+A node is named by direction, depth and its prefix: by its letters if they are few, else by three hashes of them modulo
+primes below 2^31. Each edge says which letters go on at its end, as bits of one number, so a state whose next letter
+does not follow there is never written.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.llm.language_id import code_points
-from fusework.llm.textbatch import bounded_batches, pieces, stored
+from fusework.llm.textbatch import bounded_batches, discard, pieces, stored
 
 LETTERS = "A-Za-zÀ-ÿ"
 LEAST_LENGTH = 7
@@ -32,6 +34,7 @@ _PRIMES = (2147483647, 2147483629, 2147483587)
 _BASES = (1103515245, 747796405, 277803737)
 
 NODE = "uid bigint, a bigint, b bigint, next int"
+PLAIN = 11  # letters of up to eight bits that a name has room for
 
 
 def lower_ascii(run: Column) -> Column:
@@ -69,18 +72,36 @@ def prefix_nodes(points: np.ndarray, starts: np.ndarray, lowest: np.ndarray, bac
     word = np.repeat(np.arange(len(lengths)), depths)
     depth = np.arange(len(word)) - np.repeat(np.cumsum(depths) - depths, depths) + lowest[word]
     begin, end = starts[:-1][word], starts[:-1][word] + depth
-    hashes = []
-    for prime, base in zip(_PRIMES, _BASES):
-        p = np.uint64(prime)
-        terms = (points.astype(np.uint64) + np.uint64(1)) * _powers(base, prime, int(lengths.max(initial=1)))[place] % p
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
-        hashes.append((sums[end] - sums[begin]) % p)
-    a = (hashes[0] << np.uint64(31)) | hashes[1]
-    b = (hashes[2] << np.uint64(32)) | (depth.astype(np.uint64) << np.uint64(1)) | np.uint64(backward)
+    values = points.astype(np.uint64)
+    wide = np.concatenate([[0], np.cumsum(points > 255)])
+    short = (depth <= PLAIN) & (wide[end] == wide[begin])
+    a, b = np.zeros(len(word), np.uint64), np.zeros(len(word), np.uint64)
+    # the letters of a short prefix, eight bits each: seven in one number, four in the other
+    for k in range(PLAIN):
+        has = np.flatnonzero(short & (depth > k))
+        part, shift = (a, 8 * k) if k < 7 else (b, 8 * (k - 7))
+        part[has] |= values[begin[has] + k] << np.uint64(shift)
+    hashed = np.flatnonzero(~short)
+    if len(hashed):
+        sums = []
+        for prime, base in zip(_PRIMES, _BASES):
+            p = np.uint64(prime)
+            terms = (values + np.uint64(1)) * _powers(base, prime, int(lengths.max()))[place] % p
+            total = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
+            sums.append((total[end[hashed]] - total[begin[hashed]]) % p)
+        a[hashed] = (sums[0] << np.uint64(31)) | sums[1]
+        b[hashed] = sums[2]
+    tag = (depth << 2).astype(np.uint64) | np.uint64(2 * backward) | (~short).astype(np.uint64)
+    b = (b << np.uint64(32)) | tag
     following = np.append(points.astype(np.int64), -1)[np.minimum(end, len(points))]
     return word, a.astype(np.int64), b.astype(np.int64), np.where(depth == lengths[word], -1, following).astype(np.int32)
 
 
+def _bit(code: Column) -> Column:
+    """The bit that stands for a letter of this code; letters far apart may share one."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), (code % 64).cast("int"))
+
+
 def _path_nodes(words: DataFrame) -> DataFrame:
     """The nodes on the path of each word in both tries, from the half on."""
     bounded_batches(words.sparkSession)
@@ -108,13 +129,14 @@ def _trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = stored(_path_nodes(words), "nodes")
     forks = F.min("next") != F.max("next")
     kept = nodes.groupBy("a", "b").agg(
-        F.min("next").alias("low"), forks.alias("forks"), F.ceil(F.count(F.lit(1)) / F.lit(NODE_STATES)).cast("int").alias("copies")
+        F.min("next").alias("low"), forks.alias("forks"), F.ceil(F.count(F.lit(1)) / F.lit(NODE_STATES)).cast("int").alias("copies"),
+        F.bit_or(F.when(F.col("next") >= 0, _bit(F.col("next"))).otherwise(F.lit(0).cast("long"))).alias("goes"),
     ).where("forks OR low = -1").drop("low")
     on_path = nodes.drop("next").join(kept, ["a", "b"])
-    back = (F.col("b") % 2).cast("int")
-    depth = F.shiftright(F.col("b").bitwiseAND(0xFFFFFFFF), 1).cast("int")
+    back = F.shiftright("b", 1).bitwiseAND(1).cast("int")
+    depth = F.shiftright(F.col("b").bitwiseAND(0xFFFFFFFF), 2).cast("int")
     paths = on_path.groupBy("uid", back.alias("back")).agg(
-        F.array_sort(F.collect_list(F.struct(depth.alias("depth"), "a", "b", "forks", "copies"))).alias("path")
+        F.sort_array(F.collect_list(F.struct(depth.alias("depth"), "a", "b", "forks", "copies", "goes"))).alias("path")
     )
     text = F.when(F.col("back") == 1, F.reverse("word")).otherwise(F.col("word"))
     paths = stored(paths.join(words, "uid").withColumn("text", text).withColumn("length", F.length("word")), "paths")
@@ -132,14 +154,23 @@ def _trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     arcs = arcs.select(
         F.col("s.up.a").alias("a"), F.col("s.up.b").alias("b"), F.col("s.up.copies").alias("copies"),
         F.expr("substring(text, s.up.depth + 1, s.down.depth - s.up.depth)").alias("label"),
-        F.col("s.down.a").alias("to_a"), F.col("s.down.b").alias("to_b"), leaf.alias("leaf"),
+        F.col("s.down.a").alias("to_a"), F.col("s.down.b").alias("to_b"), F.col("s.down.goes").alias("goes"), leaf.alias("leaf"),
     )
     # all words that take an edge agree on its label and its end
     edges = arcs.groupBy("a", "b", F.substring("label", 1, 1).alias("c")).agg(
-        *(F.min(x).alias(x) for x in ("label", "to_a", "to_b", "copies")), F.max("leaf").alias("leaf")
+        *(F.min(x).alias(x) for x in ("label", "to_a", "to_b", "goes", "copies")), F.max("leaf").alias("leaf")
     )
     edges = edges.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
-    return stored(edges, "edges"), states
+    edges = stored(edges.withColumn("tail", F.expr("substring(label, 2)")), "edges")
+    states = stored(states.withColumns({"first": F.substring("rest", 1, 1), "more": F.expr("substring(rest, 2)")}), "states")
+    discard(nodes, paths)
+    return edges, states
+
+
+def _lives(rest: Column) -> Column:
+    """Whether a state at the end of an edge is a word's end or has a letter to go on by."""
+    onward = _bit(F.ascii(F.substring(rest, 1, 1))).bitwiseAND(F.col("goes")) != 0
+    return F.when(rest == "", F.col("leaf").isNotNull()).otherwise(onward)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -148,14 +179,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     ``words`` (uid, word, n) has distinct words of three code points or more. An empty table gives an empty one.
     """
     edges, states = _trie(words)
-    first, rest = F.substring("rest", 1, 1), F.col("rest")
-    more, tail = F.expr("substring(rest, 2)"), F.expr("substring(label, 2)")
+    first, rest, more, tail = F.col("first"), F.col("rest"), F.col("more"), F.col("tail")
     replaced = (F.col("c") > first) & (first != "") & F.startswith(more, tail)
     inserted = F.startswith(rest, tail)
-    edits = F.array(
-        F.when(replaced, F.struct(F.expr("substring(rest, 1 + length(label))").alias("rest"))),
-        F.when(inserted, F.struct(F.expr("substring(rest, length(label))").alias("rest"))),
-    )
+    after = [F.expr("substring(more, 1 + length(tail))"), F.expr("substring(rest, 1 + length(tail))")]
+    replaced, inserted = (x & _lives(y) for x, y in zip((replaced, inserted), after))
+    edits = F.array(*[F.when(x, F.struct(y.alias("rest"))) for x, y in zip((replaced, inserted), after)])
     frontier = (
         states.join(edges, ["a", "b", "copy"])
         .where((F.col("c") != first) & (replaced | inserted))
@@ -166,12 +195,15 @@ def near_pairs(words: DataFrame) -> DataFrame:
     found, level = [], 0
     while True:
         frontier = stored(frontier, f"frontier-{level}")
+        if not level:
+            discard(states)
         found.append(frontier.where("rest = '' AND leaf IS NOT NULL").select("uid", "word", "n", "leaf"))
         going = frontier.where("rest <> ''")
         if going.isEmpty():
+            discard(edges)
             break
         frontier = (
-            going.drop("leaf").withColumn("c", first).join(single, ["a", "b", "c"]).where(F.startswith(rest, F.col("label")))
+            going.drop("leaf").withColumn("c", F.substring("rest", 1, 1)).join(single, ["a", "b", "c"]).where(F.startswith(rest, F.col("label")) & _lives(F.expr("substring(rest, length(label) + 1)")))
             .select("uid", "word", "n", F.expr("substring(rest, length(label) + 1)").alias("rest"),
                     F.col("to_a").alias("a"), F.col("to_b").alias("b"), "leaf")
         )
