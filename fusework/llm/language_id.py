@@ -23,8 +23,7 @@ from fusework.llm.textbatch import bounded_batches, pieces, send
 UNDETERMINED = "und"
 SEGMENT = 256
 SAMPLE_DOCS = 64  # labelled rows per language at most
-SAMPLE_CHARS = 16_000  # characters per language at most, spread evenly over its rows
-ALPHABET = 60  # most frequent letters, whose transitions stand in a table; those of all others in a sorted list
+SAMPLE_CHARS = 40_000  # characters per language at most, in whole texts
 
 _UNKNOWN, _SPACE = 0, 1
 
@@ -65,24 +64,56 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class LanguageModel:
-    """The automata of all languages; entries are row starts of the table, 0 means no transition.
+    """The automata of all languages in one table that their transitions share.
 
-    ``table`` has the transitions by codes below ``width``. ``arcs`` lists those by higher codes as row start
-    * number of codes + code, sorted, and ``ends`` where they lead.
+    The transition of a state by code c stands at place ``base`` of the state + c, if ``owner`` names the state there,
+    and leads to ``to``. States count from 1, so 0 means no transition. The table takes little more than eight bytes
+    a transition, of which an automaton has at most three times as many as its sample has letters, whatever the alphabet.
     """
 
     languages: list[str]
-    table: np.ndarray
-    arcs: np.ndarray
-    ends: np.ndarray
+    base: np.ndarray
+    owner: np.ndarray
+    to: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
     letters: dict[str, int]
-    width: int
     codes: np.ndarray
     alpha: np.ndarray
 
 
+def displaced(states: list[dict[int, int]], span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(base of each state, state at each place or -1, where that leads) of an automaton with codes below ``span``.
+
+    The rows of its transition table are laid over each other so that no two transitions share a place: those
+    with most transitions first, and single transitions into the holes that are left.
+    """
+    base, taken = [0] * len(states), bytearray(4 * span + sum(map(len, states)))
+    at, several = span, 0
+    for state in sorted(range(len(states)), key=lambda k: -len(states[k])):
+        codes = sorted(states[state])
+        if not codes:
+            break
+        if len(codes) != several:
+            at, several = span, len(codes)
+        while True:
+            if at + 2 * span > len(taken):
+                taken.extend(bytes(len(taken)))
+            start = at - codes[0]
+            if not any(taken[start + c] for c in codes):
+                break
+            at += 1
+        base[state] = start
+        for c in codes:
+            taken[start + c] = 1
+        at += several == 1
+    owner, to = np.full(max(base) + span, -1, np.int32), np.zeros(max(base) + span, np.int32)
+    for state, arcs in enumerate(states):
+        for c, end in arcs.items():
+            owner[base[state] + c], to[base[state] + c] = state, end
+    return np.array(base, np.int32), owner, to
+
+
 def code_tables(letters: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """(code, is a letter) of every code point; all that is no letter is white space."""
     codes = np.full(0x110000, _SPACE, np.min_scalar_type(len(letters) + 2))
@@ -96,58 +127,46 @@ def code_tables(letters: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_language_model(docs: DataFrame, label: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
-    """Fits on ``sample_docs`` rows per language, picked by a hash of id and text.
+    """Fits on at most ``sample_docs`` rows per language, picked by a hash of id and text, with their whole texts.
 
-    Rows with NULL text or label, and texts without a letter, teach nothing. The driver gets at most
-    ``sample_chars`` characters for each of the languages.
+    Rows are taken for as long as they have ``sample_chars`` characters or fewer together; one is taken in any case,
+    and longer ones only if a language has no others. Rows with NULL text or label, and texts without a letter,
+    teach nothing. The driver gets at most ``sample_chars`` characters, or one text, for each of the languages.
     """
-    each = max(1, sample_chars // sample_docs)
     usable = docs.where(F.col(label).isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = W.partitionBy("label").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
+    narrow = usable.select(F.col(label).alias("label"), "doc_id", "text", F.char_length("text").alias("size"))
+    order = W.partitionBy("label").orderBy(F.col("size") > sample_chars, F.xxhash64("doc_id", "text"), "doc_id")
     # rank first: the window group limit keeps a few rows of each language and task
-    narrow = usable.select(F.col(label).alias("label"), "doc_id", "text")
-    rows = narrow.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs).select(
-        "label", "place", F.substring("text", 1, 4 * each).alias("text")
+    ranked = narrow.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_docs)
+    so_far = F.sum("size").over(W.partitionBy("label").orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = ranked.withColumn("so_far", so_far).where((F.col("so_far") <= sample_chars) | (F.col("place") == 1)).select(
+        "label", "place", "text"
     ).collect()
     samples: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r.label, r.place)):
-        samples.setdefault(row.label, []).append(row.text)
-    counts: dict[str, int] = {}
-    for texts in samples.values():
-        for text in texts:
-            for ch in text.lower():
-                if ch.isalpha():
-                    counts[ch] = counts.get(ch, 0) + 1
-    letters = {c: i + 2 for i, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c)))}
+        samples.setdefault(row.label, []).append(row.text.lower())
+    known = sorted({ch for texts in samples.values() for text in texts for ch in text if ch.isalpha()})
+    letters = {c: i + 2 for i, c in enumerate(known)}
     span = len(letters) + 2
-    width = min(span, ALPHABET + 2)
-    languages, tables, rare, roots, bits, at = sorted(samples), [], [], [], [], 0
-    for language in languages:
+    languages = sorted(samples)
+    model = LanguageModel(languages, np.zeros(1, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(len(languages), np.int32),
+                          np.zeros(len(languages)), letters, *code_tables(letters))
+    for k, language in enumerate(languages):
         codes: list[int] = []
-        budget = sample_chars // max(1, len(samples[language]))
         for text in samples[language]:
             part = []
-            for ch in text.lower():
+            for ch in text:
                 code = letters[ch] if ch.isalpha() else _SPACE
                 if code != _SPACE or not part or part[-1] != _SPACE:
                     part.append(code)
-            codes += part[:budget]
-        states = suffix_automaton(codes)
-        table = np.zeros((len(states), width), np.int32)
-        for state, arcs in enumerate(states):
-            for code, to in arcs.items():
-                if code < width:
-                    table[state, code] = (at + to) * width
-                else:
-                    rare.append(((at + state) * width * span + code, (at + to) * width))
-        tables.append(table.ravel())
-        roots.append(at * width)
-        bits.append(np.log2(max(2, len(codes))))
-        at += len(states)
-    rare.sort()
-    return LanguageModel(languages, np.concatenate(tables) if tables else np.zeros(0, np.int32),
-                         np.array([k for k, _ in rare], np.int64), np.array([v for _, v in rare], np.int32),
-                         np.array(roots, np.int32), np.array(bits), letters, width, *code_tables(letters))
+            codes += part
+        base, owner, to = displaced(suffix_automaton(codes), span)
+        first, places = len(model.base), len(model.owner)
+        model.base = np.concatenate([model.base, base + places])
+        model.owner = np.concatenate([model.owner, np.where(owner >= 0, owner + first, 0)])
+        model.to = np.concatenate([model.to, np.where(owner >= 0, to + first, 0)])
+        model.roots[k], model.bits[k] = first, np.log2(max(2, len(codes)))
+    return model
 
 
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,15 +184,8 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def follow(model: LanguageModel, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Where the transitions from ``state`` by ``codes`` (of its last axis) lead; 0 where there is none."""
-    if not len(model.arcs):
-        return model.table[state + codes]
-    rare = codes >= model.width
-    to = model.table[state + np.where(rare, _UNKNOWN, codes)]  # nothing leads on from _UNKNOWN
-    if rare.any():
-        key = state[..., rare].astype(np.int64) * (len(model.letters) + 2) + codes[rare]
-        at = np.minimum(np.searchsorted(model.arcs, key), len(model.arcs) - 1)
-        to[..., rare] = np.where(model.arcs[at] == key, model.ends[at], 0)
-    return to
+    place = model.base[state] + codes
+    return np.where(model.owner[place] == state, model.to[place], 0)
 
 
 def parse(model: LanguageModel, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -208,13 +220,38 @@ def parse(model: LanguageModel, codes: np.ndarray, starts: np.ndarray) -> np.nda
     return np.stack([np.bincount(row, phrases[k], n_rows) for k in range(len(model.languages))])
 
 
+def _identified(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """(language, score) of each text of a piece."""
+    points, starts = code_points(data, offsets)
+    n = len(offsets) - 1
+    codes, is_letter = model.codes[points], model.alpha[points]
+    owner = np.repeat(np.arange(n), np.diff(starts))
+    letters = np.bincount(owner, is_letter, n)
+    known = np.bincount(owner, is_letter & (codes != _UNKNOWN), n)
+    keep = np.ones(len(codes), bool)
+    keep[1:] = (codes[1:] != _SPACE) | (codes[:-1] != _SPACE) | (owner[1:] != owner[:-1])
+    kept = np.concatenate([[0], np.cumsum(keep)])[starts]
+    if not model.languages:
+        return [UNDETERMINED] * n, np.zeros(n)
+    length = np.maximum(1, np.diff(kept))
+    cost = parse(model, codes[keep], kept) * model.bits[:, None] / length
+    best = cost.argmin(0)
+    ordered = np.sort(cost, 0)
+    score = np.ones(n)
+    if len(model.languages) > 1:
+        total = ordered[0] + ordered[1]
+        score = np.where(total > 0, ordered[1] / np.where(total > 0, total, 1), 0.5)
+    score = np.where(letters > 0, score * known / np.maximum(1, letters), 0.0)
+    return [model.languages[b] if k else UNDETERMINED for b, k in zip(best, letters)], score
+
+
 def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred, score of every row of ``docs`` (doc_id, text).
 
     ``und`` with score 0 where the text is NULL or has no letter, or where no language was learned.
     The score is the second best cross entropy's share of the two best, times the share of letters
     that any language knows: 0.5 for a tie, towards 1 for a clear case, towards 0 for a foreign script.
-    Ties go to the first language by code point.
+    Ties go to the first language by code point. Repeated rows give repeated rows; other columns don't matter.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -224,31 +261,29 @@ def identify_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def work(batches):
         model = receive()
         for rows, data, offsets in pieces(batches):
-            points, starts = code_points(data, offsets)
-            n = rows.num_rows
-            codes, is_letter = model.codes[points], model.alpha[points]
-            owner = np.repeat(np.arange(n), np.diff(starts))
-            letters = np.bincount(owner, is_letter, n)
-            known = np.bincount(owner, is_letter & (codes != _UNKNOWN), n)
-            keep = np.ones(len(codes), bool)
-            keep[1:] = (codes[1:] != _SPACE) | (codes[:-1] != _SPACE) | (owner[1:] != owner[:-1])
-            kept = np.concatenate([[0], np.cumsum(keep)])[starts]
-            names = [UNDETERMINED] * n
-            score = np.zeros(n)
-            if model.languages:
-                length = np.maximum(1, np.diff(kept))
-                cost = parse(model, codes[keep], kept) * model.bits[:, None] / length
-                best = cost.argmin(0)
-                ordered = np.sort(cost, 0)
-                if len(model.languages) > 1:
-                    total = ordered[0] + ordered[1]
-                    score = np.where(total > 0, ordered[1] / np.where(total > 0, total, 1), 0.5)
-                else:
-                    score = np.ones(n)
-                score = np.where(letters > 0, score * known / np.maximum(1, letters), 0.0)
-                names = [model.languages[b] if k else UNDETERMINED for b, k in zip(best, letters)]
+            names, score = _identified(model, data, offsets)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"]
             )
 
     return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {key}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language with a score of at least ``least_score``.
+
+    All columns stay as they are, whatever their names. Rows are judged where they stand: nothing is shuffled.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    receive = send(spark, model)
+
+    def work(batches):
+        model = receive()
+        for rows, data, offsets in pieces(batches):
+            names, score = _identified(model, data, offsets)
+            keep = (np.array(names) != UNDETERMINED) & (score >= least_score)
+            if keep.any():
+                yield rows.filter(pa.array(keep))
+
+    return docs.mapInArrow(work, docs.schema)

@@ -266,7 +266,7 @@ def test_languages_of_many_letters(spark):
     docs = [(100 * k + i, " ".join(rng.choices(pool, k=150)), lang) for k, (lang, pool) in enumerate(pools.items()) for i in range(60)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
     model = language_id.fit_language_model(df.where("doc_id % 100 < 40"))
-    assert len(model.letters) > 700 and model.width == language_id.ALPHABET + 2
+    assert len(model.letters) > 700
     rows = language_id.identify_languages(df.where("doc_id % 100 >= 40").drop("lang"), model).collect()
     names = list(pools)
     assert len(rows) == 100 and all(r.lang_pred == names[r.doc_id // 100] and r.score > 0.5 for r in rows)
@@ -286,8 +286,43 @@ def test_languages_of_many_letters(spark):
 
 def sample_of(df, lang):
     rows = df.where((F.col("lang") == lang) & (F.col("doc_id") % 100 < 40)).orderBy(F.xxhash64("doc_id", "text"), "doc_id").collect()
-    budget = language_id.SAMPLE_CHARS // len(rows)
-    return [r.text[: 4 * (language_id.SAMPLE_CHARS // language_id.SAMPLE_DOCS)][:budget] for r in rows]
+    out, size = [], 0
+    for r in rows:
+        size += len(r.text)
+        if size > language_id.SAMPLE_CHARS:
+            break
+        out.append(r.text)
+    return out
+
+
+def test_samples_are_whole_texts(spark):
+    short = [(i, f"kurz und gut {'abcdefgh'[i]} " * 30, "de", "s", 0) for i in range(8)]
+    long = [(20 + i, f"sehr langer text {i} " * 9000, "de", "s", 0) for i in range(3)]
+    only = [(30, "un texte tout seul " * 9000 + "fin", "fr", "s", 0)]
+    docs = spark.createDataFrame([*short, *long, *only, *ODD], DOC).withColumn("size", F.lit("clash")).withColumn("owner", F.lit(0))
+    model = language_id.fit_language_model(docs)
+    assert model.languages == ["de", "en", "fr"]
+    # a language takes texts that fit together, and a longer one only where it has no other
+    assert [round(2**b) for b in model.bits][2] == len(only[0][1]) and 2 ** model.bits[0] < language_id.SAMPLE_CHARS
+    kept = language_id.keep_identified(docs, model, 0.25)
+    assert kept.columns == docs.columns
+    found = {r.doc_id: r.lang_pred for r in language_id.identify_languages(docs.select("doc_id", "text"), model).collect()}
+    everything = [tuple(r) for r in docs.collect()]
+    want = [r for r in everything if found[r[0]] != "und"]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str) and len(want) == len(everything) - 2
+
+
+def test_displaced_rows():
+    rng = random.Random(2)
+    for span in (4, 40, 900):
+        codes = [rng.randrange(1, span) for _ in range(3000)]
+        states = language_id.suffix_automaton(codes)
+        base, owner, to = language_id.displaced(states, span)
+        assert len(owner) < 1.5 * (sum(map(len, states)) + 4 * span)
+        for state in range(0, len(states), 13):
+            for c in range(span):
+                place, end = base[state] + c, states[state].get(c)
+                assert (owner[place] == state) == (end is not None) and (end is None or to[place] == end)
 
 
 def test_pages_with_text_in_the_training_mark(spark):
