@@ -11,7 +11,11 @@ merge (u, v) -> uv changes it so that
 What remains accepts exactly the token sequences that BPE produces, one for every word. Rows and
 columns are copied on write: an arc is looked up through the history of its copies and then kept in
 the transition table, so the automaton takes memory for arcs that texts use and not for the square
-of the vocabulary. A word is encoded by finding the only path that spells it, longer arcs first.
+of the vocabulary.
+
+Every beginning of a word is spelled by exactly one path too, so a word is encoded symbol by symbol: for each place the
+tokens that end there are found in a table of the reversed labels, and the only one that may follow the last token of
+the path up to its start is kept. That takes a bounded number of table look-ups a symbol, however long the word.
 Decoding emits the arcs' labels.
 """
 
@@ -30,8 +34,10 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]
 ASCII_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"
 END = "</w>"
 
-CACHED_WORDS = 500_000
-CACHED_ARCS = 1_000_000
+CACHED_WORDS = 200_000
+CACHED_ARCS = 500_000
+HEAD = 4  # symbols that words begin with and whose places are kept
+SYMBOLS = 512  # more than the code points of the byte symbols
 NEVER = 1 << 40  # a time after all merges
 
 
@@ -101,13 +107,11 @@ class TokenAutomaton:
     def _prepare(self) -> None:
         names = "|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True))
         self.special = re.compile(f"({names})") if names else None
-        self.inside = {s: t for s, t in self.vocab.items() if not s.endswith(END) and self.alive[t]}
-        self.ending = {s[: -len(END)]: t for s, t in self.vocab.items() if s.endswith(END) and self.alive[t]}
-        self.longest = max(map(len, [*self.inside, *self.ending]))
+        self.inside, self.inside_token = self._reversed({s: t for s, t in self.vocab.items() if not s.endswith(END)})
+        self.ending, self.ending_token = self._reversed({s[: -len(END)]: t for s, t in self.vocab.items() if s.endswith(END)})
         self.symbols = byte_symbols()
-        self.packed = [t.to_bytes(4, "little") for t in range(self.size)]
         self.table: dict[int, bool] = {}
-        self.begun: dict[str, tuple[int, bytes]] = {}
+        self.heads: dict[str, tuple[list[int], list[int]]] = {}
         self.words = _Words(self)
         self.split = regex.compile(SPLIT)
         self.ascii_split = re.compile(ASCII_SPLIT)
@@ -117,80 +121,69 @@ class TokenAutomaton:
         keep = ("vocab", "added", "labels", "left", "right", "born", "gone", "size", "alive")
         return {k: self.__dict__[k] for k in keep}
 
-    def encode_word(self, word: str) -> bytes:
-        """The ids of one pre-split word: the only path of the automaton that spells it.
+    def _reversed(self, tokens: dict[str, int]) -> tuple[dict[int, int], list[int]]:
+        """Transitions (state * SYMBOLS + symbol: state) that read labels backwards, and the token of each state or -1."""
+        step, token = {}, [-1]
+        for label, value in tokens.items():
+            if not self.alive[value]:
+                continue
+            state = 0
+            for symbol in reversed(label):
+                key = state * SYMBOLS + ord(symbol)
+                state = step.get(key, 0)
+                if not state:
+                    state = step[key] = len(token)
+                    token.append(-1)
+            token[state] = value
+        return step, token
 
-        The start of the path is the only path of a shorter string, and words share their beginnings:
-        those paths are kept. The last arc is looked for, longest first.
-        """
+    def encode_word(self, word: str) -> bytes:
+        """The ids of one pre-split word: the only path of the automaton that spells it."""
         s = word if word.isascii() and word.isprintable() else "".join(map(self.symbols.__getitem__, word.encode()))
-        if len(s) > 64:
-            return np.array(self._walk(s), "<u4").tobytes()
-        if len(self.table) > CACHED_ARCS:
-            self.table.clear()
-        if len(self.begun) > CACHED_WORDS:
-            self.begun.clear()
-        return self._last_arc(s, self.ending)[1]
-
-    def _last_arc(self, s: str, tokens: dict[str, int]) -> tuple[int, bytes]:
-        """(last token, ids) of the path that spells s with a last arc out of ``tokens``."""
-        n, begun, table, size = len(s), self.begun, self.table, self.size
-        for start in range(n - self.longest if n > self.longest else 0, n):
-            token = tokens.get(s[start:])
-            if token is None:
-                continue
-            if not start:
-                return token, self.packed[token]
-            head = s[:start]
-            before = begun.get(head)
-            if before is None:
-                before = begun[head] = self._last_arc(head, self.inside)
-            arc = before[0] * size + token
-            found = table.get(arc)
-            if found is None:
-                found = table[arc] = self._arc(before[0], token, NEVER)
-            if found:
-                return token, before[1] + self.packed[token]
-        raise ValueError(f"no path for {s!r}")
-
-    def _walk(self, s: str) -> list[int]:
-        """The same for long strings, without recursion: forward, longer arcs first.
-
-        A pair of position and state that leads nowhere is left for good.
-        """
-        n, table, inside, ending, size, longest = len(s), self.table, self.inside, self.ending, self.size, self.longest
-        path, marks, at, stop = [], [0], 0, n
-        state, dead = -1, set()
-        while True:
-            # the longest arc from here that ends at ``stop`` or before
-            token = None
-            while stop > at:
-                token = ending.get(s[at:]) if stop == n else inside.get(s[at:stop])
-                if token is not None and (stop, token) not in dead:
-                    if state < 0:
-                        break
-                    arc = state * size + token
+        codes, n, table, size = list(map(ord, s)), len(s), self.table, self.size
+        if len(table) > CACHED_ARCS:
+            table.clear()
+        # last token of the path up to each place, and where it starts
+        head = self.heads.get(s[:HEAD]) if n > HEAD else None
+        last, before = map(list, head) if head else ([-1], [0])
+        known = len(last)
+        last += [-1] * (n + 1 - known)
+        before += [0] * (n + 1 - known)
+        step, tokens = self.inside, self.inside_token
+        for end in range(known, n + 1):
+            if end == n:
+                step, tokens = self.ending, self.ending_token
+            state, start, best = 0, end, -1
+            while start:
+                start -= 1
+                state = step.get(state * SYMBOLS + codes[start])
+                if state is None:
+                    break
+                token = tokens[state]
+                if token < 0:
+                    continue
+                if start:
+                    if last[start] < 0:
+                        continue
+                    arc = last[start] * size + token
                     found = table.get(arc)
                     if found is None:
-                        found = table[arc] = self._arc(state, token, NEVER)
-                    if found:
-                        break
-                token = None
-                stop -= 1
-            if token is not None:
-                path.append(token)
-                if stop == n:
-                    return path
-                state, at = token, stop
-                marks.append(at)
-                stop = n if n - at <= longest else at + longest
-            else:
-                if not path:
-                    raise ValueError(f"no path for {s!r}")
-                dead.add((at, path.pop()))
-                marks.pop()
-                stop, at = at - 1, marks[-1]
-                state = path[-1] if path else -1
+                        found = table[arc] = self._arc(last[start], token, NEVER)
+                    if not found:
+                        continue
+                best, before[end] = token, start
+            last[end] = best
+        if head is None and n > HEAD:
+            if len(self.heads) >= CACHED_WORDS:
+                self.heads.clear()
+            self.heads[s[:HEAD]] = last[: HEAD + 1], before[: HEAD + 1]
+        out, end = [], n
+        while end:
+            if last[end] < 0:
+                raise ValueError(f"no path for {s!r}")
+            out.append(last[end])
+            end = before[end]
+        return np.array(out[::-1], "<u4").tobytes()
 
     def pieces(self, text: str) -> list[str]:
         """Normalises (NFC, lower case) and splits; white space falls away."""
@@ -238,35 +231,35 @@ def load_automaton(path: str) -> TokenAutomaton:
 def encode_documents(docs, tokenizer_path: str, with_ids: bool = False):
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs`` (doc_id, text).
 
-    ``with_ids`` adds the ids (array<int>) and the decoded text. NULL is an empty text, which has no
-    tokens. The file at ``tokenizer_path`` is read once by the driver; its automaton, a few megabytes
+    ``with_ids`` adds the ids (array<int>). NULL is an empty text, which has no tokens. Very long texts and words
+    take time in proportion. The file at ``tokenizer_path`` is read once by the driver; its automaton, a few megabytes
     whatever the input, is broadcast. Order, repeated rows and other columns don't matter.
     """
     import hashlib
 
     import pyarrow as pa
 
-    from fusework.llm.textbatch import bounded_batches, send
+    from fusework.llm.textbatch import bounded_batches, pieces, send
 
     spark = docs.sparkSession
     bounded_batches(spark)
     receive = send(spark, load_automaton(tokenizer_path))
     key = docs.schema["doc_id"].dataType.simpleString()
-    more = ", ids array<int>, decoded string" if with_ids else ""
+    more = ", ids array<int>" if with_ids else ""
 
     def work(batches):
         automaton = receive()
-        for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                ids = automaton.encode(text or "")
-                decoded = automaton.decode(ids)
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest(),
-                             *((np.frombuffer(ids, "<u4").astype(np.int32), decoded.decode()) if with_ids else ())))
-            columns = [list(c) for c in zip(*rows)] or [[]] * (5 if with_ids else 3)
-            types = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+        for batch, data, offsets in pieces(batches):
+            raw, ids, decoded = data.tobytes(), [], []
+            for a, b in zip(offsets[:-1], offsets[1:]):
+                ids.append(automaton.encode(raw[a:b].decode(errors="replace")))
+                decoded.append(hashlib.sha256(automaton.decode(ids[-1])).hexdigest())
+            counts = [len(x) // 4 for x in ids]
+            arrays = [pa.array(counts, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(b"".join(ids), "<i4"))))
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], names[: 1 + len(arrays)])
 
     schema = f"doc_id {key}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{more}"

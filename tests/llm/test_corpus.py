@@ -144,6 +144,25 @@ def test_tokens_equal_the_library():
         assert mine.decode(ids).decode() == library.decode(want.ids, skip_special_tokens=False)
 
 
+def test_long_words_take_time_in_proportion():
+    import time
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    library, mine, rng = Tokenizer.from_file(path), bpe.load_automaton(path), random.Random(1)
+    library.no_truncation(), library.no_padding()
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(1 << 20))
+    for text in ("a" * (1 << 20), letters, "漢字" * 100_000):
+        start = time.process_time()
+        ids = mine.encode(text)
+        assert time.process_time() - start < 15
+        want = library.encode(text[:60_000], add_special_tokens=False).ids
+        # a word's end changes its last tokens alone
+        assert np.frombuffer(mine.encode(text[:60_000]), "<u4").tolist() == want
+        assert np.frombuffer(ids, "<u4")[: len(want) - 20].tolist() == want[:-20]
+
+
 def test_passages_survive_insertions(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
@@ -296,7 +315,7 @@ def sample_of(df, lang):
 
 
 def test_samples_are_whole_texts(spark):
-    short = [(i, f"kurz und gut {'abcdefgh'[i]} " * 30, "de", "s", 0) for i in range(8)]
+    short = [(40 + i, f"kurz und gut {'abcdefgh'[i]} " * 30, "de", "s", 0) for i in range(8)]
     long = [(20 + i, f"sehr langer text {i} " * 9000, "de", "s", 0) for i in range(3)]
     only = [(30, "un texte tout seul " * 9000 + "fin", "fr", "s", 0)]
     docs = spark.createDataFrame([*short, *long, *only, *ODD], DOC).withColumn("size", F.lit("clash")).withColumn("owner", F.lit(0))
