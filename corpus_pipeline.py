@@ -15,10 +15,7 @@ LEAST_SCORE = 0.25
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with text in a language of the corpus; those without letters or in a foreign script go."""
     model = language_id.fit_language_model(docs)
-    found = language_id.identify_languages(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), model)
-    good = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    boxed = docs.select(F.struct("*").alias("doc"), F.xxhash64("doc_id", "text").alias("id"))
-    return boxed.join(good.select(F.col("doc_id").alias("id")), "id", "left_semi").select("doc.*")
+    return language_id.keep_identified(docs, model, LEAST_SCORE)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every row and the digests of ids and decoded text."""
-    return bpe.encode_documents(docs, tokenizer_path(), with_ids=True).drop("decoded")
+    return bpe.encode_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [
