@@ -34,8 +34,8 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{WHITE}\p{{L}}\p{{N}}]
 ASCII_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"
 END = "</w>"
 
-CACHED_WORDS = 200_000
-CACHED_ARCS = 500_000
+CACHED_WORDS = 400_000
+CACHED_ARCS = 1_000_000
 HEAD = 4  # symbols that words begin with and whose places are kept
 SYMBOLS = 512  # more than the code points of the byte symbols
 NEVER = 1 << 40  # a time after all merges
@@ -153,26 +153,26 @@ class TokenAutomaton:
         for end in range(known, n + 1):
             if end == n:
                 step, tokens = self.ending, self.ending_token
-            state, start, best = 0, end, -1
+            state, start, ends = 0, end, []
             while start:
                 start -= 1
                 state = step.get(state * SYMBOLS + codes[start])
                 if state is None:
                     break
                 token = tokens[state]
-                if token < 0:
-                    continue
+                if token >= 0 and (not start or last[start] >= 0):
+                    ends.append((start, token))
+            # one of them at most may follow; longer ones do so more often
+            for start, token in reversed(ends):
                 if start:
-                    if last[start] < 0:
-                        continue
                     arc = last[start] * size + token
                     found = table.get(arc)
                     if found is None:
                         found = table[arc] = self._arc(last[start], token, NEVER)
                     if not found:
                         continue
-                best, before[end] = token, start
-            last[end] = best
+                last[end], before[end] = token, start
+                break
         if head is None and n > HEAD:
             if len(self.heads) >= CACHED_WORDS:
                 self.heads.clear()
