@@ -134,9 +134,9 @@ def fit_discriminant(rows: DataFrame, shrinkage: float = SHRINKAGE) -> Discrimin
     d = len(NAMES)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     x = [F.get("x", i) for i in range(d)]
-    exact = "decimal(38,0)"
-    sums = [F.sum(x[i]).cast(exact).alias(f"s{i}") for i in range(d)]
-    sums += [F.sum(x[i] * x[j]).cast(exact).alias(f"p{i}_{j}") for i, j in pairs]
+    exact = "decimal(20,0)"  # its sum has 30 digits
+    sums = [F.sum(x[i].cast(exact)).alias(f"s{i}") for i in range(d)]
+    sums += [F.sum((x[i] * x[j]).cast(exact)).alias(f"p{i}_{j}") for i, j in pairs]
     found = {r["label"]: r for r in rows.where("label IN (0, 1)").groupBy("label").agg(F.count(F.lit(1)).alias("n"), *sums).collect()}
     total = sum(r["n"] for r in found.values())
     if any(k not in found or found[k]["n"] < 2 for k in (0, 1)):
