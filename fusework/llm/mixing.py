@@ -57,10 +57,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     One row per source: the loop runs over this table, a few aggregates a round.
     """
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # sorted by code point, NULL last; one row per source goes through this window
-    place = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))
-    picked = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), ((place - 1) % len(weights) + 1).cast("int"))
-    table = stored(per_source.withColumn("weight", picked.cast("long")), "sources")
+    # sorted by code point, NULL last, in ranges: no task holds all sources
+    place = ranked(per_source.withColumn("all", F.lit(0)), ["source"], "all").drop("all")
+    picked = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
+    table = stored(place.withColumn("weight", picked.cast("long")).drop("rank"), "sources")
     total = share * (table.agg(F.sum("source_size")).first()[0] or 0)
     level, capped = 0.0, -1
     while True:
@@ -123,9 +123,14 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     )
     joined = keyed.select("doc", "row").join(taken, "row")
     single = joined.where("equal = 1").select("doc", "copies")
-    turn = F.row_number().over(W.partitionBy("row").orderBy("row"))
+    # equal rows take turns: their places within the part of the table that they are stored in, and the rows of the parts before
+    equal = stored(joined.where("equal > 1").withColumn("part", F.spark_partition_id()), "equal")
+    local = F.row_number().over(W.partitionBy("row", "part").orderBy("row"))
+    held = equal.groupBy("row", "part").agg(F.count(F.lit(1)).alias("held"))
+    before = (F.sum("held").over(W.partitionBy("row").orderBy("part")) - F.col("held")).alias("before")
+    several = equal.withColumn("local", local).join(held.select("row", "part", before), ["row", "part"])
     share = F.floor(F.col("copies") / F.col("equal"))
-    several = joined.where("equal > 1").withColumn("turn", turn).select(
+    several = several.withColumn("turn", F.col("before") + F.col("local")).select(
         "doc", (share + F.when(F.col("turn") <= F.col("copies") - share * F.col("equal"), 1).otherwise(0)).alias("copies")
     )
     return (
