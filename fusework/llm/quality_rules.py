@@ -4,9 +4,10 @@ A line that stands in many documents of one host is furniture of the host and no
 normalised and hashed, the documents of each host that hold a line are counted, lines above the host's
 limit are taken away, and documents of which too little is left are rejected.
 
-A host's limit grows with its documents, so a verdict does not depend on the size of the crawl. As a
-line must be in ``SHARE`` of a host's documents, a host has at most ``1 / SHARE`` times its mean
-number of lines per document of them: that list travels to the documents, not the documents' lines to it.
+A host's limit is a share of its documents: ``SMALL_SHARE`` of a small host's, two documents in any case, and ``SHARE`` of a
+large one's, with ``MIDDLE`` documents where one goes over into the other. As a line must be in ``SHARE`` of a host's
+documents, a host has at most ``1 / SHARE`` times its mean number of lines per document of them: that list travels
+to the documents, not the documents' lines to it.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.llm.textbatch import WORD, words_column
 
-SHARE = 0.01  # of a host's documents
-LEAST_DOCS = 20  # in any case more documents than this
+SHARE = 0.01  # of a large host's documents
+SMALL_SHARE = 0.05  # of a small host's
+MIDDLE = 20  # documents: the limit between 20 / SMALL_SHARE and 20 / SHARE documents
+LEAST_DOCS = 2  # in any case more documents than this
 LEFT = 0.3  # of a document's words that must remain
 
 # Fixed values of the base rules.
@@ -71,29 +74,35 @@ def base_measures(docs: DataFrame) -> DataFrame:
 
 
 def line_key(line: Column) -> Column:
-    """Hash of a normalised line: lower case, everything but letters as one space."""
-    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, r"[^\p{L}]+", " "))))
+    """Hash of a normalised line: lower case, everything but letters as one space; a line without letters as it is."""
+    letters = F.lower(F.trim(F.regexp_replace(line, r"[^\p{L}]+", " ")))
+    return F.xxhash64(F.when(letters == "", F.trim(line)).otherwise(letters))
 
 
-def frequent_lines(docs: DataFrame, host: str = "source", share: float = SHARE, least_docs: int = LEAST_DOCS) -> DataFrame:
+def line_limit(docs: Column, share: float = SHARE) -> Column:
+    """In more documents than this of a host with ``docs`` documents a line is furniture."""
+    return F.greatest(share * docs, F.least(F.lit(MIDDLE), SMALL_SHARE * docs), F.lit(LEAST_DOCS))
+
+
+def frequent_lines(docs: DataFrame, host: str = "source", share: float = SHARE) -> DataFrame:
     """host, frequent: for each host the hashes of its lines above the limit.
 
-    A row is a document; a NULL host is a host of its own. Lines without a letter are compared as one.
+    A row is a document; a NULL host is a host of its own.
     """
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     keys = docs.select(F.col(host).alias("host"), F.explode(F.array_distinct(F.transform(lines, line_key))).alias("key"))
-    held = keys.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least_docs)
+    held = keys.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LEAST_DOCS)
     sizes = docs.groupBy(F.col(host).alias("of")).agg(F.count(F.lit(1)).alias("docs"))
-    above = held.join(sizes, F.col("host").eqNullSafe(F.col("of"))).where(F.col("n") > share * F.col("docs"))
+    above = held.join(sizes, F.col("host").eqNullSafe(F.col("of"))).where(F.col("n") > line_limit(F.col("docs"), share))
     return above.groupBy("host").agg(F.collect_list("key").alias("frequent"))
 
 
-def apply_rules(docs: DataFrame, host: str = "source", share: float = SHARE, least_docs: int = LEAST_DOCS, left: float = LEFT) -> DataFrame:
+def apply_rules(docs: DataFrame, host: str = "source", share: float = SHARE, left: float = LEFT) -> DataFrame:
     """The base measures, base_failed, n_removed_words and kept for each row of ``docs``.
 
     ``docs`` has doc_id, text and the host column; others are left out. Empty and NULL texts fail the base.
     """
-    above = frequent_lines(docs, host, share, least_docs).withColumnRenamed("host", "of")
+    above = frequent_lines(docs, host, share).withColumnRenamed("host", "of")
     rows = base_measures(docs.select("doc_id", F.col(host).alias("host"), "text"))
     rows = rows.withColumn("held", F.transform("lines", lambda x: F.struct(line_key(x).alias("key"), F.regexp_count(x, F.lit(WORD)).alias("n")))).drop("lines", "text")
     joined = rows.join(above, F.col("host").eqNullSafe(F.col("of")), "left")

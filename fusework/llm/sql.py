@@ -30,11 +30,13 @@ WITH d AS (
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines
   FROM d
 ), l AS (
-  SELECT r, source, lower(trim(regexp_replace(line, '[^\p{{L}}]+', ' ', 'g'))) AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
-  FROM (SELECT r, source, unnest(lines) AS line FROM d)
+  SELECT r, source, CASE WHEN k = '' THEN trim(line) ELSE k END AS k, n FROM (
+    SELECT r, source, line, lower(trim(regexp_replace(line, '[^\p{{L}}]+', ' ', 'g'))) AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+    FROM (SELECT r, source, unnest(lines) AS line FROM d)
+  )
 ), f AS (
   SELECT k, source FROM (SELECT k, source, count(DISTINCT r) AS n FROM l GROUP BY ALL) JOIN (SELECT source AS s, count(*) AS docs FROM d GROUP BY ALL)
-    ON source IS NOT DISTINCT FROM s WHERE n > 20 AND n > 0.01 * docs
+    ON source IS NOT DISTINCT FROM s WHERE n > greatest(0.01::DOUBLE * docs, least(20, 0.05::DOUBLE * docs), 2)
 ), gone AS (
   SELECT r, sum(n)::BIGINT AS n FROM l WHERE EXISTS (SELECT 1 FROM f WHERE f.k = l.k AND f.source IS NOT DISTINCT FROM l.source) GROUP BY r
 ), m AS (

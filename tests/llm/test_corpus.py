@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check import rows_of
-from fusework.llm import bpe, html_extract, language_id, line_dedup, mixing, near_duplicates, quality_rules, substring_dedup, vector_search
+from fusework.llm import bpe, html_extract, language_id, line_dedup, mixing, near_duplicates, quality_classifier, quality_rules, substring_dedup, vector_search
 from fusework.llm.queries import QUERIES, SQL, tokenizer_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -213,6 +213,65 @@ def test_odd_rows_and_empty_tables(spark, rows):
     assert substring_dedup.remove_repeated_passages(docs).count() == n
 
 
+def plain_line_key(line):
+    import regex
+
+    letters = regex.sub(r"[^\p{L}]+", " ", line).strip(" ").lower()
+    return letters or line.strip(" ")
+
+
+def test_furniture_lines_by_brute_force(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    sentence = lambda n: " ".join(word() for _ in range(n))
+    docs = []
+    for host, n in (("tiny", 4), ("small", 30), ("middle", 700), ("large", 3000), (None, 50)):
+        menu = [sentence(9) for _ in range(8)]
+        for i in range(n):
+            # a few documents have little but the host's lines, some a line or two of them, and numbers stand in all
+            own = [sentence(12) for _ in range(1 if i % 10 == 0 else 6)]
+            some = menu if i % 10 == 0 else rng.sample(menu, rng.randint(0, 2))
+            lines = [*(f"{rng.choice(['*', '-'])} {x.upper() if rng.random() < 0.5 else x} {i}" for x in some), *own, f"{i} | {i % 7}", "3 | 14"]
+            rng.shuffle(lines)
+            docs.append((len(docs), "\n".join(lines), host))
+    docs += [(90_000, None, "small"), (90_001, "", "small"), docs[0], (None, docs[1][1], "tiny")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("found", F.lit("clash"))
+    got = sorted(((r.doc_id, r.n_removed_words, r.kept) for r in quality_rules.apply_rules(df).collect()), key=str)
+    held, hosts = {}, {}
+    for _, text, host in docs:
+        hosts[host] = hosts.get(host, 0) + 1
+        for key in {plain_line_key(x) for x in (text or "").split("\n") if x.split()}:
+            held[host, key] = held.get((host, key), 0) + 1
+    want = []
+    for i, text, host in docs:
+        n, gone = len((text or "").split()), 0
+        for line in (text or "").split("\n"):
+            if line.split() and held[host, plain_line_key(line)] > max(0.01 * hosts[host], min(20, 0.05 * hosts[host]), 2):
+                gone += len(line.split())
+        want.append((i, gone, n >= 20 and n - gone >= 0.3 * n))
+    assert got == sorted(want, key=str)
+    rejected = [w for w in want if w[1] and not w[2]]
+    assert len(rejected) > 300 and sum(w[2] for w in want) > 3000
+    # the table of numbers keeps the rows that stand in no other document
+    assert max(w[1] for w in want) <= 8 * 11 + 3
+
+
+def test_equal_rows_take_turns(spark):
+    rows = [(1, "same text", "s")] * 900 + [(i, f"text {i} of its own", "s") for i in range(2, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(9)
+    out = mixing.mix_documents(docs).groupBy("doc_id").count().collect()
+    copies = {r.key: r.copies for r in mixing.mix_sources(docs.select(F.col("doc_id").alias("key"), "source", F.lit(3).cast("long").alias("size"))).groupBy("key").agg(F.sum("copies").alias("copies")).collect()}
+    found = {r.doc_id: r["count"] for r in out}
+    assert abs(found[1] - copies[1]) <= 40 and max(found[i] for i in found if i > 1) <= 2
+
+
+def test_sums_beyond_64_bits(spark):
+    big = 2_000_000_000
+    rows = [([big + i % 3 + k for k in range(len(quality_classifier.NAMES))], i % 2) for i in range(20)]
+    model = quality_classifier.fit_discriminant(spark.createDataFrame(rows, "x array<bigint>, label int"))
+    assert len(model.means) == 2 and np.isfinite(model.offsets).all()
+
+
 def test_search_with_odd_vectors(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(300)] + [(300, None), (350, [1.0, None]), (400, [float("nan")]), (450, [])]
