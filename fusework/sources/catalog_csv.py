@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fusework.config import CSV_NA_VALUES
+from fusework.session import StageStore
+from fusework.sources.csv_records import read_records
 
 
 def snake_case(name: str) -> str:
@@ -23,20 +26,29 @@ def _missing_to_null(df: DataFrame) -> DataFrame:
 
 
 def load_csv_source(
-    spark: SparkSession, path: str, label: str, backslash_escapes: bool = False, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    label: str,
+    backslash_escapes: bool = False,
+    multi_line: bool = False,
+    row_id: str | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """All columns as text, snake_case names, ``_source`` added.
 
     ``backslash_escapes`` reads the dialect that both doubles quotes and escapes them with a
     backslash; Spark's reader knows one escape only, so escapes are rewritten line by line first.
-    Files stay splittable unless ``multi_line`` is asked for. A broken record fails the job.
+    ``multi_line`` reads records with line breaks inside quotes, in both dialects; ``row_id`` names a column with the number of
+    each record, from 0 in the order of the files, and implies it; the records are then stored by ``stage``, or in a folder of
+    their own. Files stay splittable either way. A broken
+    record fails the job: too many fields, or a quoted field that a file's end leaves open; missing fields are NULL there.
     """
+    if multi_line or row_id:
+        return _load_records(spark, path, label, backslash_escapes, row_id, stage or StageStore(spark).save)
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
     if not backslash_escapes:
-        df = reader.option("multiLine", multi_line).option("inferSchema", False).csv(path)
+        df = reader.option("inferSchema", False).csv(path)
         return _missing_to_null(snake_case_columns(df)).withColumn("_source", F.lit(label))
-    if multi_line:
-        raise ValueError("backslash escapes are read line by line")
     # the header alone names the columns
     names = reader.option("inferSchema", False).csv(path).columns
     schema = T.StructType([T.StructField(snake_case(n), T.StringType()) for n in names])
@@ -58,6 +70,22 @@ def load_csv_source(
     return _missing_to_null(parsed.where(~is_header).select("r.*")).withColumn("_source", F.lit(label))
 
 
+def _load_records(spark: SparkSession, path: str, label: str, backslash: bool, row_id: str | None, stage) -> DataFrame:
+    records = read_records(spark, path, stage, backslash, header=True)
+    header = records.where("record = 0").orderBy("file").limit(1).first()
+    if header is None:
+        raise ValueError(f"{path} has no header")
+    names = [snake_case(n.removeprefix("\ufeff")) for n in header.fields]
+    many = F.raise_error(F.concat(F.lit("a record with too many fields in "), F.col("file"), F.lit(": "), F.col("record").cast("string")))
+    fields = F.when(F.size("fields") > len(names), many.cast("array<string>")).otherwise(F.col("fields"))
+    rows = records.where("record > 0").withColumn("fields", fields)
+    values = rows.select(*[F.get("fields", i).alias(n) for i, n in enumerate(names)], F.col("number").alias("__number"))
+    return values.select(
+        *[F.when(~F.col(n).isin(*CSV_NA_VALUES), F.col(n)).alias(n) for n in names],
+        F.lit(label).alias("_source"), *([F.col("__number").alias(row_id)] if row_id else []),
+    )
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> str:
     """Overwrites the folder; partitions are written where they are."""
     writer = df.write.mode("overwrite").format(fmt)
