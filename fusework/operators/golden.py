@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fusework.config import DEFAULTS, UNKNOWN, Settings
 from fusework.functions import parse as P, similarity as S
 from fusework.functions.lists import join_list
 from fusework.operators.quality import quality_scores
+from fusework.session import IntegrityError
 
 
 def survivor(a: Column, b: Column, missing) -> Column:
@@ -191,54 +194,95 @@ def build_b_only(clean_b: DataFrame, strong: DataFrame, settings: Settings = DEF
     )
 
 
+SLICE_ROWS = 1_000_000
+
+
 def assign_master_id(
     df: DataFrame,
     parts: list[str],
     part: str,
     order: str,
     name: str,
-    sketch_of: DataFrame | None = None,
-    slices: int = 64,
+    stage: Callable[[DataFrame, str], DataFrame],
+    n_rows: int | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """``M_0000001`` ... in the order of ``parts``, then of the unique integer ``order``.
 
-    The rank is the rank within a slice plus the exact sizes of the slices before it. The cut
-    points are a sketch of ``order`` (or of the cheaper ``sketch_of`` with the same column); they
-    only make the slices even. No window spans the table.
+    The rows are dealt into ranges of about ``slice_rows`` rows, sorted there and stored by ``stage``; a row's
+    number is its place in its range plus the exact sizes of the ranges before. One shuffle, no window, and the number of
+    ranges grows with the table. ``n_rows`` saves counting it. A NULL or repeated ``order`` within a part, and a part that is
+    not in ``parts``, raise.
+
+    Ids of seven digits sort as text; :func:`master_sequence` gives the number, which orders ids of any length.
     """
-    levels = [i / slices for i in range(1, slices)]
-    # a fixed number of cut points comes back
-    cuts = (sketch_of or df).agg(F.percentile_approx(order, levels, F.lit(100 * slices))).first()[0] or []
+    rows = df.count() if n_rows is None else n_rows
+    wanted = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // slice_rows))
     place = F.array_position(F.array(*[F.lit(p) for p in parts]), F.col(part)).cast("int")
-    below = F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col(order))
-    slot = F.size(below)
-    sliced = df.select(*df.columns, place.alias("__part"), slot.alias("__slice"))
-    keys = ["__part", "__slice"]
-    sizes = sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(
-        Window.partitionBy(F.lit(0)).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select(*keys, F.coalesce(before, F.lit(0)).alias("__before"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-    return (
-        sliced.withColumn("__rank", rank)
-        .join(offsets, keys)
-        .select(
-            F.format_string("M_%07d", F.col("__before") + F.col("__rank")).alias(name), *df.columns
-        )
-    )
+    placed = df.select(*df.columns, F.when(place > 0, place).alias("__part"))
+    placed = placed.repartitionByRange(wanted, "__part", order).sortWithinPartitions("__part", order)
+    # the number of the range and the row's place in it
+    spot = F.monotonically_increasing_id()
+    placed = stage(placed.withColumn("__spot", spot), f"{name}_ranges")
+    number = F.shiftright("__spot", 33).cast("int")
+    own = placed.select(number.alias("__range"), "__part", F.col(order).alias("__order"))
+    sizes = own.groupBy("__range").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("__part", "__order").alias("different")
+    ).orderBy("__range").collect()  # one row for each range
+    if any(r.n != r.different for r in sizes):
+        raise IntegrityError(f"{sum(r.n - r.different for r in sizes)} rows have no or a repeated {order}")
+    offsets, before = [], 0
+    for r in sizes:
+        offsets.append((r["__range"], before))
+        before += r.n
+    before_of = df.sparkSession.createDataFrame(offsets, "__range int, __before bigint")
+    in_range = F.col("__spot").bitwiseAND((1 << 33) - 1)
+    numbered = placed.withColumn("__range", number).join(F.broadcast(before_of), "__range")
+    return numbered.select(F.format_string("M_%07d", F.col("__before") + in_range + 1).alias(name), *df.columns)
+
+
+def master_sequence(master_id: Column) -> Column:
+    """The number in a master id: the order of the catalogue, also beyond ten million records."""
+    return F.substring(master_id, 3, 20).cast("bigint")
 
 
 def golden_record(
-    clean_a: DataFrame, clean_b: DataFrame, strong: DataFrame, settings: Settings = DEFAULTS
+    clean_a: DataFrame,
+    clean_b: DataFrame,
+    strong: DataFrame,
+    stage: Callable[[DataFrame, str], DataFrame],
+    settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """The master table: merged, A-only and B-only records with ids and quality scores."""
+    """The master table: merged, A-only and B-only records with ids and quality scores.
+
+    ``stage`` writes a table and reads it back. A source id that is NULL or occurs twice raises.
+    """
     everything = build_from_a(clean_a, clean_b, strong, settings).unionByName(
         build_b_only(clean_b, strong, settings), allowMissingColumns=True
     )
     types = ["merged", f"{settings.source_a}_only", f"{settings.source_b}_only"]
-    ids = clean_a.select(F.col("a_row_id").alias("source_row_id")).unionAll(clean_b.select("b_row_id"))
-    numbered = assign_master_id(
-        everything, types, "record_type", "source_row_id", "movie_master_id", sketch_of=ids
-    )
+    # stored tables answer a count from their footers
+    most = clean_a.count() + clean_b.count()
+    numbered = assign_master_id(everything, types, "record_type", "source_row_id", "movie_master_id", stage, n_rows=most)
     return quality_scores(numbered, settings)
+
+
+def golden_checks(n_a: int, n_b: int, n_strong: int, settings: Settings = DEFAULTS):
+    """(violations, numbers, function) for the write of the master table: ids, and |master| = |A| + |B| - |strong|, type by type."""
+    sequence = master_sequence(F.col("movie_master_id"))
+    checks = {"records without an id": F.count_if(sequence.isNull()), "records without a type": F.count_if(F.col("record_type").isNull())}
+    types = {
+        "merged": n_strong, f"{settings.source_a}_only": n_a - n_strong, f"{settings.source_b}_only": n_b - n_strong,
+    }
+    counts = {f"n {t}": F.count_if(F.col("record_type") == t) for t in types} | {"first": F.min(sequence), "last": F.max(sequence)}
+
+    def verify(seen: dict) -> list[str]:
+        wrong = [f"{seen[f'n {t}']} records of type {t} instead of {n}" for t, n in types.items() if seen[f"n {t}"] != n]
+        rows = n_a + n_b - n_strong
+        if seen["rows"] != rows:
+            wrong.append(f"{seen['rows']} records instead of {n_a} + {n_b} - {n_strong}")
+        if rows and (seen["first"], seen["last"]) != (1, rows):
+            wrong.append(f"ids from {seen['first']} to {seen['last']}")
+        return wrong
+
+    return checks, counts, verify

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+import fusework
 from fusework.config import DEFAULTS, Settings
 from fusework.operators import audit, clean, golden, link, models, outliers, profile, ranking, recommend, reports
-from fusework.session import StageStore
+from fusework.session import StageStore, input_fingerprint
 
 ALL_LAYERS = ("exact", "pm1", "fuzzy")
 
 
 class CatalogRun:
-    """Lazily built tables of one run. Asking for a table stages everything it needs, once."""
+    """Lazily built tables of one run. Asking for a table stages everything it needs, once.
+
+    With a store over a given folder a run goes on where an earlier one over the same inputs, settings and layers
+    ended: a stage that was published is read, not computed. Other inputs, or other settings, start anew.
+    """
 
     def __init__(
         self,
@@ -29,6 +35,9 @@ class CatalogRun:
         self.store, self.settings = store, settings
         self.layers, self.isolation = tuple(layers), isolation
         self._tables: dict[str, DataFrame] = {}
+        self.store.fingerprint = hashlib.sha256(
+            f"{input_fingerprint(raw_a, raw_b)}|{settings}|{self.layers}|{isolation}|{fusework.__version__}".encode()
+        ).hexdigest()
 
     def variant(self, name: str, **changes) -> CatalogRun:
         """A run over the same cleaned sources with other layers or settings."""
@@ -38,13 +47,20 @@ class CatalogRun:
             changes.get("isolation", self.isolation),
         )
         self.links
-        for shared in ("clean_a", "clean_b", "link_a", "link_b"):
-            other._tables[shared] = self._tables[shared]
+        shared = ["clean_a", "clean_b", "link_a", "link_b"]
+        if (other.settings, other.layers) == (self.settings, self.layers):
+            self.bounds
+            shared += ["matches", "master_plain", "iqr_bounds"]
+        for name in shared:
+            other._tables[name] = self._tables[name]
         return other
 
-    def _staged(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _staged(self, name: str, build: Callable[[], DataFrame], **rules) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.store.save(build(), name)
+            if self.store.published(name):
+                self._tables[name] = self.store.load(name)
+            else:
+                self._tables[name] = self.store.save(build(), name, **rules)
         return self._tables[name]
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
@@ -69,10 +85,14 @@ class CatalogRun:
 
     @property
     def matches(self) -> DataFrame:
-        a, b = self.links
-        return self._staged(
-            "matches", lambda: link.linkage_cascade(a, b, self.stage, self.settings, self.layers)
-        )
+        if "matches" not in self._tables and self.store.published("matches"):
+            self._tables["matches"] = self.store.load("matches")
+        if "matches" not in self._tables:
+            a, b = self.links
+            found = link.linkage_cascade(a, b, self.stage, self.settings, self.layers)
+            flagged, checks, helpers = link.one_to_one(found)
+            self._staged("matches", lambda: flagged, checks=checks, helpers=helpers)
+        return self._tables["matches"]
 
     @property
     def strong(self) -> DataFrame:
@@ -80,9 +100,16 @@ class CatalogRun:
 
     @property
     def master_plain(self) -> DataFrame:
-        return self._staged(
-            "master_plain", lambda: golden.golden_record(self.clean_a, self.clean_b, self.strong, self.settings)
-        )
+        if "master_plain" not in self._tables and not self.store.published("master_plain"):
+            matches = self.matches
+            n_strong = link.strong_only(matches).count()
+            checks, counts, verify = golden.golden_checks(self.clean_a.count(), self.clean_b.count(), n_strong, self.settings)
+            return self._staged(
+                "master_plain",
+                lambda: golden.golden_record(self.clean_a, self.clean_b, self.strong, self.stage, self.settings),
+                checks=checks, counts=counts, verify=verify,
+            )
+        return self._staged("master_plain", lambda: None)
 
     @property
     def bounds(self) -> DataFrame:
@@ -182,9 +209,19 @@ STAGES: dict[int, Callable[[CatalogRun], dict[str, DataFrame]]] = {
 
 
 def run_stages(run: CatalogRun, steps: Sequence[int] = (1, 2, 3, 4, 5)) -> dict[str, DataFrame]:
-    """Runs the chosen stages in order and stores every report under ``reports/``."""
+    """Runs the chosen stages in order and stores every report under ``reports/``.
+
+    A stage is done once its manifest ``done-<step>`` is published, which names its reports; done stages of an earlier run over
+    the same inputs are read.
+    """
     results: dict[str, DataFrame] = {}
+    store = run.store
     for step in sorted(set(steps)):
-        for name, df in STAGES[step](run).items():
-            results[name] = run.store.save(df, f"reports/{name}")
+        if store.published(f"done-{step}"):
+            names = [r.name for r in store.load(f"done-{step}").collect()]
+            results |= {name: store.load(f"reports/{name}") for name in names}
+            continue
+        reports_ = {name: store.save(df, f"reports/{name}") for name, df in STAGES[step](run).items()}
+        store.save(store.spark.createDataFrame([(name,) for name in reports_], "name string").coalesce(1), f"done-{step}")
+        results |= reports_
     return results

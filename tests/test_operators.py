@@ -9,6 +9,7 @@ from fusework.config import Settings
 from fusework.operators import dedup, golden, link, models, outliers, recommend, reports
 from fusework.operators.quantiles import exact_quantiles
 from fusework.plans.stages import CatalogRun
+from fusework.session import IntegrityError
 from fusework.sources import catalog_csv as csv
 from fusework.sources.fixtures import cat_a, cat_b
 from tests.test_functions import plain_lcs, plain_token_set
@@ -184,15 +185,100 @@ def test_master_identity_and_audit(run):
     assert failed == []
 
 
-def test_ids_follow_the_order_with_uneven_keys(spark):
+def test_ids_follow_the_order_with_uneven_keys(spark, store):
     rows = [(i if i % 3 else i + 10**9, "x" if i % 2 else "y") for i in range(500)]
     df = spark.createDataFrame(rows, "k bigint, t string").repartition(7)
-    got = golden.assign_master_id(df, ["y", "x"], "t", "k", "id").orderBy("id").collect()
+    got = golden.assign_master_id(df, ["y", "x"], "t", "k", "id", store.save, slice_rows=40).orderBy("id").collect()
     want = sorted(rows, key=lambda r: (r[1] != "y", r[0]))
     assert [(r["k"], r["t"]) for r in got] == want
     assert [r["id"] for r in got] == [f"M_{i:07d}" for i in range(1, 501)]
 
 
+def test_ten_million_ids_keep_the_order(spark, store):
+    n = 10_000_050
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.lit("x").alias("t"))
+    ids = golden.assign_master_id(df, ["x"], "t", "k", "id", store.save, n_rows=n)
+    wrong = ids.where((golden.master_sequence(F.col("id")) != F.col("k") + 1) | (F.length("id") < 9))
+    assert wrong.count() == 0 and ids.count() == n
+    # no range has much more than its share
+    sizes = store.load("id_ranges").groupBy(F.shiftright("__spot", 33)).count().agg(F.max("count")).first()[0]
+    assert sizes < 2 * golden.SLICE_ROWS
+    store.clear()
+
+
+@pytest.mark.parametrize("rows", [[(1, "x"), (1, "x")], [(None, "x"), (2, "x")], [(1, "x"), (2, "z")]])
+def test_ids_need_different_orders(spark, store, rows):
+    df = spark.createDataFrame(rows, "k bigint, t string")
+    with pytest.raises(IntegrityError):
+        golden.assign_master_id(df, ["x"], "t", "k", "id", store.save)
+    assert golden.assign_master_id(spark.createDataFrame([], "k bigint, t string"), ["x"], "t", "k", "other", store.save).count() == 0
+
+
+def test_a_broken_stage_is_not_published(spark, store):
+    score = "a_row_id bigint, b_row_id bigint, linkage_score double"
+    good = [(1, 10, 100.0), (2, 20, 75.5)]
+    for more in ([(1, 30, 80.0)], [(3, 10, 80.0)], [(None, 30, 80.0)], [(3, 30, 101.0)], [(3, 30, None)]):
+        flagged, checks, helpers = link.one_to_one(spark.createDataFrame(good + more, score))
+        with pytest.raises(IntegrityError):
+            store.save(flagged, "matches", checks=checks, helpers=helpers)
+        assert not store.published("matches")
+    flagged, checks, helpers = link.one_to_one(spark.createDataFrame(good, score))
+    saved = store.save(flagged, "matches", checks=checks, helpers=helpers)
+    assert sorted(map(tuple, saved.collect())) == good and store.metrics("matches")["rows"] == 2
+    checks, counts, verify = golden.golden_checks(3, 2, 1)
+    rows = [("merged", 1), ("tmdb_only", 2), ("tmdb_only", 3), ("imdb_only", 4)]
+    master = spark.createDataFrame([(t, f"M_{i:07d}") for t, i in rows], "record_type string, movie_master_id string")
+    assert store.save(master, "master", checks=checks, counts=counts, verify=verify).count() == 4
+    short = master.where("movie_master_id <> 'M_0000003'")
+    twice = master.unionByName(master.limit(1))
+    nameless = master.withColumn("movie_master_id", F.expr("nullif(movie_master_id, 'M_0000002')"))
+    for broken in (short, twice, nameless, master.replace("imdb_only", "merged")):
+        with pytest.raises(IntegrityError):
+            store.save(broken, "master", checks=checks, counts=counts, verify=verify)
+    # the earlier one is still there
+    assert store.load("master").count() == 4
+
+
+def test_a_run_goes_on_where_an_earlier_one_ended(spark, tmp_path):
+    from fusework.plans import stages
+    from fusework.session import StageStore
+
+    def write(extra):
+        for name, make in (("a", cat_a), ("b", cat_b)):
+            rows = make(spark, "/root/testdata/sf0.001")
+            (rows.unionByName(rows.limit(1)) if extra and name == "a" else rows).write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+
+    def run():
+        raw = [spark.read.parquet(f"{tmp_path}/{n}") for n in "ab"]
+        return stages.CatalogRun(*raw, StageStore(spark, f"{tmp_path}/run"), isolation=False)
+
+    write(extra=False)
+    first = run()
+    stages.run_stages(first, steps=[1, 2, 3])
+    folder = first.store.path("master_plain")
+
+    def fails(_):
+        raise RuntimeError("lost")
+
+    kept, stages.STAGES[3] = stages.STAGES[3], fails
+    try:
+        again = run()
+        assert set(stages.run_stages(again, steps=[1, 2, 3])) >= {"match_audit", "profile_before"}
+        assert again.master_plain.count() == first.master_plain.count() and again.store.path("master_plain") == folder
+        # other inputs or settings find nothing
+        other = stages.CatalogRun(again.raw_a, again.raw_b, StageStore(spark, f"{tmp_path}/run"), layers=("exact",), isolation=False)
+        assert not other.store.published("matches")
+        write(extra=True)
+        with pytest.raises(RuntimeError):
+            stages.run_stages(run(), steps=[3])
+    finally:
+        stages.STAGES[3] = kept
+    changed = run()
+    assert changed.master_plain.count() > 0 and changed.store.path("master_plain") != folder
+    changed.store.discard("matches")
+    assert not changed.store.published("matches")
+
+
 def test_isolation_forest_flags_planted_rows_and_is_stable(spark):
     from fusework.session import StageStore
 
