@@ -59,6 +59,7 @@ class Settings:
     # work units of the blocked comparison: no task holds more rows of a block than this
     block_rows_a: int = 10_000
     block_rows_b: int = 1_000
+    block_chars: int = 1_000_000  # of titles, on either side
 
     # conflict thresholds
     conflict_runtime: float = 10.0

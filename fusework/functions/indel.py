@@ -154,8 +154,9 @@ def token_set_ratio(a: Column, b: Column) -> Column:
 class TokenSetBlock:
     """Token-set scores of one text against a block of texts, without forming the pairs.
 
-    The block is encoded once. Comparing only the words two texts do not share is done by switching
-    positions off: a switched-off character never matches, which leaves the LCS of the rest.
+    The block is encoded once, with an index from words to the texts that have them. Comparing only the words
+    two texts do not share is done by switching positions off: a switched-off character never matches, which
+    leaves the LCS of the rest.
     """
 
     def __init__(self, texts: list[str]):
@@ -163,60 +164,137 @@ class TokenSetBlock:
         self.rows = len(texts)
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted({w for s in split for w in s}))}
         width = max(1, max((len(s) for s in split), default=1))
-        self.tokens = np.zeros((self.rows, width), dtype=np.int64)
+        self.tokens = np.zeros((self.rows, width), dtype=np.int32)
         for i, words in enumerate(split):
             self.tokens[i, : len(words)] = [self.vocabulary[w] for w in words]
         sizes = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)
         for w, i in self.vocabulary.items():
             sizes[i] = len(w)
         self.sizes = sizes[self.tokens]
+        self.counts, self.letters = (self.tokens > 0).sum(axis=1), self.sizes.sum(axis=1)
+        # the texts of each word: a slice of one array
+        flat = self.tokens.ravel()
+        order = np.argsort(flat, kind="stable")
+        self.owners = order // width
+        self.begin = np.searchsorted(flat[order], np.arange(len(sizes) + 1))
         joined = [" ".join(s) for s in split]
         raw, self.lengths = code_points(joined)
         self.symbols = np.unique(np.concatenate([raw.ravel(), [0]]))
-        self.codes = np.searchsorted(self.symbols, raw)
+        self.codes = np.searchsorted(self.symbols, raw).astype(np.int32)
         # which word every character belongs to; a space belongs to the word before it
         space = raw == ord(" ")
-        self.word_of = np.cumsum(space, axis=1) - space
+        self.word_of = (np.cumsum(space, axis=1) - space).astype(np.int32)
         self.space = space
+        # how often each letter stands in each text
+        self.bags = np.zeros((len(self.symbols), self.rows), dtype=np.int32)
+        np.add.at(self.bags, (self.codes, np.arange(self.rows)[:, None]), 1)
+        self.index = {int(c): i for i, c in enumerate(self.symbols)}
 
     def scores(self, text: str) -> np.ndarray:
+        """The score of every text of the block."""
+        return self._exact(sorted(set(text.split())), np.arange(self.rows))
+
+    def best(self, text: str, k: int, floor: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
+        """(row, score) of all texts that score at least ``floor`` and as much as the k-th best of the block, ties included.
+
+        Upper bounds come from the words and letters that two texts share; texts are compared in their order until the
+        next bound is below the k-th best score.
+        """
         words = sorted(set(text.split()))
-        if not words or self.rows == 0:
+        bounds = self._bounds(words)
+        order = np.argsort(-bounds, kind="stable")
+        order = order[: np.searchsorted(-bounds[order], -floor, "right")]
+        rows, values, at, step = order[:0], np.zeros(0), 0, 4 * k + 28
+        while at < len(order):
+            if len(values) >= k:
+                floor = max(floor, np.partition(values, len(values) - k)[len(values) - k])
+                if bounds[order[at]] < floor:
+                    break
+            part = order[at : at + step]
+            rows, values = np.concatenate([rows, part]), np.concatenate([values, self._exact(words, part)])
+            at, step = at + step, min(2 * step, 4096)
+        if len(values) >= k:
+            floor = max(floor, np.partition(values, len(values) - k)[len(values) - k])
+        keep = values >= floor
+        return rows[keep], values[keep]
+
+    def _shared(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number, letters) of the words that each text shares."""
+        number, letters = np.zeros(self.rows, dtype=np.int64), np.zeros(self.rows, dtype=np.int64)
+        for w in words:
+            code = self.vocabulary.get(w)
+            if code is not None:
+                at = self.owners[self.begin[code] : self.begin[code + 1]]
+                number[at] += 1
+                letters[at] += len(w)
+        return number, letters
+
+    def _lengths(self, words: list[str], number: np.ndarray, letters: np.ndarray, rows=slice(None)):
+        """Lengths of the shared words, of the text's others and of the words' others, joined by spaces."""
+        own, own_text = self.counts[rows] - number, len(words) - number
+        s = letters + np.maximum(number - 1, 0)
+        x = self.letters[rows] - letters + np.maximum(own - 1, 0)
+        y = sum(map(len, words)) - letters + np.maximum(own_text - 1, 0)
+        return s, x, y
+
+    def _score(self, s, x, y, lcs, rows=slice(None)) -> np.ndarray:
+        gap = (s > 0).astype(np.int64)
+        left, right = s + gap + x, s + gap + y
+        with np.errstate(divide="ignore", invalid="ignore"):
+            best = 100.0 * (1.0 - (x + y - 2 * lcs) / (left + right))
+            with_a = 100.0 * (1.0 - (gap + x) / (s + left))
+            with_b = 100.0 * (1.0 - (gap + y) / (s + right))
+        best = np.where(s > 0, np.maximum(best, np.maximum(with_a, with_b)), best)
+        best = np.where((s > 0) & ((x == 0) | (y == 0)), 100.0, best)
+        return np.where(self.counts[rows] > 0, best, 0.0)
+
+    def _bounds(self, words: list[str]) -> np.ndarray:
+        """No score is larger: the LCS has no letter more often than both sides."""
+        if not words:
             return np.zeros(self.rows)
-        rows = np.arange(self.rows)
-        present = self.tokens > 0
+        number, letters = self._shared(words)
+        s, x, y = self._lengths(words, number, letters)
+        bag = -letters  # letters of shared words are counted on both sides
+        text = "".join(words)
+        for ch in set(text):
+            row = self.index.get(ord(ch))
+            if row is not None:
+                bag = bag + np.minimum(self.bags[row], text.count(ch))
+        spaces = np.minimum(np.maximum(self.counts - number - 1, 0), np.maximum(len(words) - number - 1, 0))
+        return self._score(s, x, y, np.minimum(bag + spaces, np.minimum(x, y)))
+
+    def _exact(self, words: list[str], rows: np.ndarray) -> np.ndarray:
+        n = len(rows)
+        if not words or not n:
+            return np.zeros(n)
+        lane = np.arange(n)
+        tokens = self.tokens[rows]
+        present = tokens > 0
         common_here = np.zeros_like(present)  # block words that the text has
-        common_text = np.zeros((self.rows, len(words)), dtype=bool)  # text words the block row has
+        common_text = np.zeros((n, len(words)), dtype=bool)  # text words the block row has
         for i, w in enumerate(words):
             code = self.vocabulary.get(w)
             if code is not None:
-                hit = self.tokens == code
+                hit = tokens == code
                 common_here |= hit
                 common_text[:, i] = hit.any(axis=1)
         own = present & ~common_here
         own_text = ~common_text
-
-        def joined_length(flags: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-            count = flags.sum(axis=1)
-            return (flags * sizes).sum(axis=1) + np.maximum(count - 1, 0)
-
-        text_sizes = np.array([len(w) for w in words])[None, :]
-        s = joined_length(common_here, self.sizes)
-        x = joined_length(own, self.sizes)
-        y = joined_length(own_text, text_sizes)
+        s, x, y = self._lengths(words, common_here.sum(axis=1), (common_here * self.sizes[rows]).sum(axis=1), rows)
 
         # characters of the block rows that take part: own words and the spaces between them
         width = own.shape[1]
         last_own = np.where(own.any(axis=1), width - 1 - own[:, ::-1].argmax(axis=1), -1)
-        live = own[rows[:, None], np.minimum(self.word_of, width - 1)]
-        live &= ~(self.space & (self.word_of == last_own[:, None]))
-        codes = np.where(live, self.codes, _PAD)
+        word_of = self.word_of[rows]
+        live = own[lane[:, None], np.minimum(word_of, width - 1)]
+        live &= ~(self.space[rows] & (word_of == last_own[:, None]))
+        codes = np.where(live, self.codes[rows], _PAD)
 
         # the same for the text, as bit masks per block row
         pattern = " ".join(words)
         n_words = (len(pattern) + WORD - 1) // WORD
         base = [np.zeros(len(self.symbols), dtype=np.uint64) for _ in range(n_words)]
-        alive = [np.zeros(self.rows, dtype=np.uint64) for _ in range(n_words)]
+        alive = [np.zeros(n, dtype=np.uint64) for _ in range(n_words)]
         n_text = len(words)
         last_text = np.where(own_text.any(axis=1), n_text - 1 - own_text[:, ::-1].argmax(axis=1), -1)
         position = 0
@@ -231,19 +309,8 @@ class TokenSetBlock:
                 keep = own_text[:, i] & (last_text != i)
                 alive[gap // WORD] |= np.where(keep, np.uint64(1 << (gap % WORD)), np.uint64(0))
             position = gap + 1
-        index = {int(c): i for i, c in enumerate(self.symbols)}
         for p, ch in enumerate(pattern):
-            i = index.get(ord(ch), _PAD)
+            i = self.index.get(ord(ch), _PAD)
             if i != _PAD:
                 base[p // WORD][i] |= np.uint64(1 << (p % WORD))
-        lcs = lcs_lengths(base, codes, self.rows, alive)
-
-        gap = (s > 0).astype(np.int64)
-        left, right = s + gap + x, s + gap + y
-        with np.errstate(divide="ignore", invalid="ignore"):
-            best = 100.0 * (1.0 - (x + y - 2 * lcs) / (left + right))
-            with_a = 100.0 * (1.0 - (gap + x) / (s + left))
-            with_b = 100.0 * (1.0 - (gap + y) / (s + right))
-        best = np.where(s > 0, np.maximum(best, np.maximum(with_a, with_b)), best)
-        best = np.where((s > 0) & ((x == 0) | (y == 0)), 100.0, best)
-        return np.where(present.any(axis=1), best, 0.0)
+        return self._score(s, x, y, lcs_lengths(base, codes, n, alive), rows)

@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fusework.config import DEFAULTS, Settings
 from fusework.functions import similarity as S
@@ -162,12 +162,42 @@ def block_candidates(a: DataFrame, b: DataFrame) -> DataFrame:
     return block_sizes(a, b).withColumn("n_pairs", F.col("rows_a") * F.col("rows_b"))
 
 
+#: Characters, with padding, of the titles that are compared at a time.
+BLOCK_CELLS = 1_000_000
+
 _SCORES = (
     "b_key string, b_year int, a_row_id bigint, token_set double, token_sort double, ratio double"
 )
 
 
+def _blocks(titles: list[str]) -> list[tuple[list[int], TokenSetBlock]]:
+    """(places of its titles, block) of blocks of titles of similar length; a long title widens no other's block."""
+    order = sorted(range(len(titles)), key=lambda i: len(titles[i]))
+    out, start = [], 0
+    while start < len(order):
+        stop = start + 1
+        while stop < len(order) and (stop + 1 - start) * len(titles[order[stop]]) <= BLOCK_CELLS:
+            stop += 1
+        out.append((order[start:stop], TokenSetBlock([titles[i] for i in order[start:stop]])))
+        start = stop
+    return out
+
+
 def _score_block(limit: int):
+    def best_of(key: str, blocks, owners: list[list[int]], row_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, score) of the best ``limit`` rows, smallest ids first among equals."""
+        places, values, floor = [], np.zeros(0), -1.0
+        for own, block in blocks:
+            rows, scores = block.best(key, limit, floor)
+            places += [own[r] for r in rows]
+            values = np.concatenate([values, scores])
+            if len(values) >= limit:
+                floor = np.partition(values, len(values) - limit)[len(values) - limit]
+        found = [(r, v) for p, v in zip(places, values) if v >= floor for r in owners[p]]
+        rows, values = np.array([r for r, _ in found], np.int64), np.array([v for _, v in found])
+        order = np.lexsort((row_ids[rows], -values))[:limit]
+        return rows[order], values[order]
+
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         """The best ``limit`` A rows for every B title of one bounded piece of a block."""
         best: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -175,15 +205,15 @@ def _score_block(limit: int):
         titles = left["title_norm"].to_pylist()
         row_ids = left["row_id"].to_numpy()
         if queries:
-            distinct = sorted(set(titles))
-            place = {t: i for i, t in enumerate(distinct)}
-            of = np.array([place[t] for t in titles])
-            block = TokenSetBlock(distinct)
+            place: dict[str, int] = {}
+            owners: list[list[int]] = []
+            for i, t in enumerate(titles):
+                if place.setdefault(t, len(owners)) == len(owners):
+                    owners.append([])
+                owners[place[t]].append(i)
+            blocks = _blocks(list(place))
             for key in set(queries):
-                values = block.scores(key)[of]
-                # score first, smallest id among equals
-                order = np.lexsort((row_ids, -values))[:limit]
-                best[key] = order, values[order]
+                best[key] = best_of(key, blocks, owners, row_ids)
         rows = [(k, y, i, v) for k, y in zip(queries, right["b_year"].to_pylist()) for i, v in zip(*best[k])]
         keys = [r[0] for r in rows]
         found = [titles[r[2]] for r in rows]
@@ -202,9 +232,10 @@ def _score_block(limit: int):
 def fuzzy_top_k(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """For every distinct (title, year) of B the best A rows of its block by token-set ratio.
 
-    Every B title is compared with its whole block. A block is cut on both sides into pieces of
-    bounded size; each task scores one piece against one piece in memory and returns a few rows per
-    B title, so pairs are never emitted and no block, however large, lands in one task.
+    A block is cut on both sides into pieces of bounded rows and characters; each task scores one piece against one
+    piece in memory and returns a few rows per B title, so pairs are never emitted and no block, however large, lands
+    in one task. Within a piece an index from words to titles and the letters in common bound each score, and titles are
+    compared in the order of their bounds until no bound reaches the k-th best score: exact, and few are compared.
     """
     k = settings.fuzzy_candidates
     block = ["first_letter", "release_year"]
@@ -217,12 +248,12 @@ def fuzzy_top_k(a: DataFrame, b: DataFrame, settings: Settings = DEFAULTS) -> Da
         .distinct()
         .withColumn("release_year", F.explode(_near_years("b_year")))
     )
-    counts_a = left.groupBy(*block).agg(F.count(F.lit(1)).alias("rows_a"))
-    counts_b = right.groupBy(*block).agg(F.count(F.lit(1)).alias("rows_b"))
-    pieces = counts_a.join(counts_b, block).select(
-        *block,
-        F.ceil(F.col("rows_a") / settings.block_rows_a).cast("int").alias("pieces_a"),
-        F.ceil(F.col("rows_b") / settings.block_rows_b).cast("int").alias("pieces_b"),
+    def parts(side: DataFrame, title: str, rows: int, name: str) -> DataFrame:
+        by_rows, by_chars = F.count(F.lit(1)) / rows, F.sum(F.length(title)) / settings.block_chars
+        return side.groupBy(*block).agg(F.ceil(F.greatest(by_rows, by_chars)).cast("int").alias(name))
+
+    pieces = parts(left, "title_norm", settings.block_rows_a, "pieces_a").join(
+        parts(right, "b_key", settings.block_rows_b, "pieces_b"), block
     )
 
     def cut(side: DataFrame, key: Column, own: str, other: str) -> DataFrame:
@@ -305,6 +336,25 @@ def linkage_cascade(
     return found
 
 
+def one_to_one(matches: DataFrame) -> tuple[DataFrame, dict[str, Column], tuple[str, ...]]:
+    """(matches with helper columns, violations, names of the helpers) for the write of all matches.
+
+    Every row of either source is matched once at most, both ids are there, and scores lie between 0 and 100.
+    """
+    helpers = ("__again_a", "__again_b")
+    flagged = matches
+    for helper, key in zip(helpers, ("a_row_id", "b_row_id")):
+        again = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("linkage_score"))) > 1
+        flagged = flagged.withColumn(helper, again & F.col(key).isNotNull())
+    checks = {
+        "rows of A matched again": F.count_if("__again_a"),
+        "rows of B matched again": F.count_if("__again_b"),
+        "matches without an id": F.count_if(F.col("a_row_id").isNull() | F.col("b_row_id").isNull()),
+        "scores out of range": F.count_if(~F.coalesce(F.col("linkage_score").between(0, 100), F.lit(False))),
+    }
+    return flagged, checks, helpers
+
+
 def strong_only(matches: DataFrame) -> DataFrame:
     return matches.where(F.col("match_status") == "strong_match")
 
