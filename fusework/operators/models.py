@@ -2,34 +2,80 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
 from fusework.operators.quantiles import attach, exact_quantiles
+from fusework.session import shared_dir
 
 PROFIT_FEATURES = ("budget_usd", "runtime_min", "popularity_tmdb", "vote_count_tmdb", "release_year")
 REVENUE_FEATURES = ("log_budget", "runtime_min", "popularity_tmdb", "vote_count_tmdb", "release_year")
 
 
-def prepare_features(df: DataFrame, key: str, target: str, features: Sequence[str]) -> DataFrame:
-    """Rows with a target and at least one feature, gaps filled with the exact median."""
+class MedianFiller(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns the exact median of each input column; its model fills gaps with them."""
+
+    def __init__(self, inputCols: Sequence[str] = ()):
+        super().__init__()
+        self._set(inputCols=list(inputCols))
+
+    def _fit(self, dataset: DataFrame) -> MedianFillerModel:
+        columns = self.getInputCols()
+        values = dataset.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        medians = exact_quantiles(values.unpivot([], columns, "column", "value"), "value", {"m": 0.5}, ["column"])
+        found = {r["column"]: r["m"] for r in medians.collect()}  # one number for each column
+        # a column without any value has no median and keeps its gaps
+        known = [c for c in columns if c in found]
+        return MedianFillerModel(known, [float(found[c]) for c in known])
+
+
+class MedianFillerModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Fills gaps with what was learned, in any table with these columns; can be stored and read again."""
+
+    medians = Param(Params._dummy(), "medians", "the medians of the input columns", TypeConverters.toListFloat)
+
+    def __init__(self, inputCols: Sequence[str] = (), medians: Sequence[float] = ()):
+        super().__init__()
+        self._set(inputCols=list(inputCols), medians=list(medians))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        filled = zip(self.getInputCols(), self.getOrDefault(self.medians))
+        return dataset.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in filled})
+
+
+def model_rows(df: DataFrame, key: str, target: str, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """(key, target, features) of the rows with a target and at least one feature, and the features that ``df`` has."""
     present = [c for c in features if c in df.columns]
     rows = df.where(F.col(target).isNotNull()).select(
         key, F.col(target).cast("double").alias("target"), *[F.col(c).cast("double").alias(c) for c in present]
-    ).where(F.coalesce(*present).isNotNull())
-    long = rows.select(*present).unpivot([], present, "column", "value")
-    medians = exact_quantiles(long, "value", {"m": 0.5}, ["column"])
-    packed = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "m")))).scalar()
-    return rows.withColumn("__m", packed).select(
-        key, "target", *[F.coalesce(F.col(c), F.element_at("__m", F.lit(c))).alias(c) for c in present]
     )
+    return rows.where(F.coalesce(*present).isNotNull()), present
+
+
+def prepare_features(df: DataFrame, key: str, target: str, features: Sequence[str]) -> DataFrame:
+    """Rows with a target and at least one feature, gaps filled with the exact median of all of them."""
+    rows, present = model_rows(df, key, target, features)
+    return MedianFiller(present).fit(rows).transform(rows)
+
+
+def split_features(df: DataFrame, key: str, target: str, features: Sequence[str], stage, name: str, settings: Settings,
+                   stratify: str | None = None) -> tuple[DataFrame, list[str], MedianFillerModel]:
+    """(rows with ``is_test``, features, filler): gaps are filled with medians of the training rows alone."""
+    rows, present = model_rows(df, key, target, features)
+    split = stage(train_test_split(rows, key, settings, stratify), f"{name}_split")
+    filler = MedianFiller(present).fit(split.where(~F.col("is_test")))
+    return stage(filler.transform(split), f"{name}_features"), filler.getInputCols(), filler
 
 
 def train_test_split(
@@ -48,16 +94,25 @@ def train_test_split(
 
 
 def _fit_all(split: DataFrame, features: list[str], models: dict) -> dict[str, DataFrame]:
-    """Test predictions per model."""
+    """Test predictions per model.
+
+    Fitted models are stored and read again: a model in memory drags its training summary, and with it the session,
+    into its tasks.
+    """
+    spark = split.sparkSession
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(split).select(
         "target", "is_test", "features"
     )
     train = assembled.where(~F.col("is_test")).persist()
     test = assembled.where("is_test")
+    root, predicted = f"{shared_dir(spark)}/models-{uuid.uuid4().hex}", {}
     try:
-        return {name: Pipeline(stages=[m]).fit(train).transform(test) for name, m in models.items()}
+        for name, model in models.items():
+            Pipeline(stages=[model]).fit(train).write().save(f"{root}/{name}")
+            predicted[name] = PipelineModel.load(f"{root}/{name}").transform(test)
     finally:
         train.unpersist()
+    return predicted
 
 
 def _sizes(split: DataFrame) -> tuple[int, int]:
@@ -74,12 +129,10 @@ def profitability_models(
     settings: Settings = DEFAULTS,
 ) -> DataFrame | None:
     """Random forest against logistic regression; None below the minimum number of rows."""
-    prepared = stage(prepare_features(df, key, target, features), "profit_features")
-    split = stage(train_test_split(prepared, key, settings, stratify="target"), "profit_split")
+    split, columns, _ = split_features(df, key, target, features, stage, "profit", settings, stratify="target")
     n_train, n_test = _sizes(split)
     if n_train + n_test < settings.min_model_rows:
         return None
-    columns = [c for c in prepared.columns if c not in (key, "target")]
     fitted = _fit_all(split, columns, {
         "RandomForest": RandomForestClassifier(
             labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
@@ -116,12 +169,10 @@ def revenue_models(
     settings: Settings = DEFAULTS,
 ) -> DataFrame | None:
     """Random forest, gradient boosting and ridge on a log target."""
-    prepared = stage(prepare_features(df, key, target, features), "revenue_features")
-    split = stage(train_test_split(prepared, key, settings), "revenue_split")
+    split, columns, _ = split_features(df, key, target, features, stage, "revenue", settings)
     n_train, n_test = _sizes(split)
     if n_train + n_test < settings.min_model_rows:
         return None
-    columns = [c for c in prepared.columns if c not in (key, "target")]
     fitted = _fit_all(split, columns, {
         "RandomForestRegressor": RandomForestRegressor(
             labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,

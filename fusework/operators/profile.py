@@ -12,6 +12,9 @@ from fusework.functions import parse as P
 from fusework.functions.text import normalize_basic_text
 from fusework.operators.dedup import count_duplicates, keep_first
 
+#: Smallest hashes that a stored sketch of a column keeps.
+SKETCH = 4096
+
 
 def metrics(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """All aggregates in one pass, then turned into rows ``(metric, value)``."""
@@ -92,6 +95,52 @@ def profile_columns(
     return report.join(samples, "column", "left")
 
 
+def column_sketches(df: DataFrame, source: str, load: str, size: int = SKETCH) -> DataFrame:
+    """A row per column of one load: source, load, column, dtype, n_rows, n_not_null, hashes.
+
+    ``hashes`` are the ``size`` smallest different hashes of the column's values. Rows of several loads of a source are
+    merged by :func:`profile_from_sketches`, whose result is that of one pass over all of them.
+    """
+    columns = [c for c in df.columns if not c.startswith("_")]
+    types = dict(df.dtypes)
+    values = column_values(df, columns).select("column", F.when(F.col("value").isNotNull(), F.xxhash64("value")).alias("hash"))
+    counts = values.groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"), F.count("hash").alias("n_not_null"))
+    # equal values share a rank, so each task sends ``size`` different hashes a column at most
+    smallest = keep_first(values.where(F.col("hash").isNotNull()).distinct(), ["column"], ["hash"], n=size)
+    held = smallest.groupBy("column").agg(F.sort_array(F.collect_list("hash")).alias("hashes"))
+    known = df.sparkSession.createDataFrame([(c, types[c]) for c in columns], "column string, dtype string")
+    none = F.array().cast("array<bigint>")
+    return known.join(counts, "column", "left").join(held, "column", "left").select(
+        F.lit(source).alias("source"), F.lit(load).alias("load"), "column", "dtype",
+        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.coalesce("n_not_null", F.lit(0)).cast("long").alias("n_not_null"),
+        F.coalesce("hashes", none).alias("hashes"),
+    )
+
+
+def profile_from_sketches(sketches: DataFrame, size: int = SKETCH) -> DataFrame:
+    """The column report of all loads of each source, from stored sketches alone.
+
+    ``n_unique`` is exact for fewer than ``size`` different values; else the share of the hash range that the ``size`` smallest
+    hashes take says how many there are (about 1.6 % off, at 4,096). A load given twice counts once.
+    """
+    loads = sketches.dropDuplicates(["source", "load", "column"])
+    sums = loads.groupBy("source", "column").agg(
+        F.max("dtype").alias("dtype"), F.sum("n_rows").alias("n_rows"), F.sum("n_not_null").alias("n_not_null")
+    )
+    hashes = loads.select("source", "column", F.explode("hashes").alias("hash")).distinct()
+    smallest = keep_first(hashes, ["source", "column"], ["hash"], n=size)
+    held = smallest.groupBy("source", "column").agg(F.count(F.lit(1)).alias("held"), F.max("hash").alias("last"))
+    # the place of the last hash in the range from 0 to 1
+    share = (F.col("last").cast("double") + float(1 << 63)) / float(1 << 64)
+    unique = F.when(F.col("held") < size, F.col("held")).otherwise(F.round((size - 1) / share).cast("long"))
+    report = sums.join(held, ["source", "column"], "left").withColumn("n_unique", F.coalesce(unique, F.lit(0)).cast("long"))
+    return report.select(
+        "source", "column", "dtype", "n_rows", (F.col("n_rows") - F.col("n_not_null")).alias("n_null"),
+        percent(F.col("n_rows") - F.col("n_not_null"), F.col("n_rows")).alias("null_pct"), "n_not_null", "n_unique",
+        F.when(F.col("n_not_null") > 0, percent(F.col("n_unique"), F.col("n_not_null"))).alias("unique_pct_over_not_null"),
+    )
+
+
 def summarize_table(df: DataFrame, label: str) -> DataFrame:
     nulls = sum(F.count_if(F.col(c).isNull()) for c in df.columns)
     return df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.alias("null_cells")).select(
