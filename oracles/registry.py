@@ -95,7 +95,7 @@ def reload_master(spark, sf_dir):
 @register(
     "reload_clean_inputs",
     "SELECT 'clean_a' AS name, count(*) AS n FROM clean_a UNION ALL SELECT 'clean_b', count(*) FROM clean_b "
-    "UNION ALL SELECT 'matches', count(*) FROM matches",
+    "UNION ALL SELECT 'matches', count(*) FROM matches_all",
 )
 def reload_clean_inputs(spark, sf_dir):
     run = sql_run(spark, sf_dir)
@@ -110,7 +110,7 @@ def reload_clean_inputs(spark, sf_dir):
 @register(
     "write_match_audit",
     "SELECT match_status, match_method, count(*) AS n, round(avg(linkage_score), 6) AS mean_score "
-    "FROM matches GROUP BY 1, 2",
+    "FROM matches_all GROUP BY 1, 2",
 )
 def write_match_audit(spark, sf_dir):
     path = csv.write_match_audit(sql_run(spark, sf_dir).matches, StageStore(spark).path("audit"))
@@ -688,9 +688,10 @@ def match_exact(spark, sf_dir):
 
 
 def _rest(run, column: str) -> tuple[DataFrame, DataFrame]:
-    """Link rows of both sides not matched by the layers of the two-layer run."""
+    """Link rows of both sides not matched by the first layer, or by the first two."""
     a, b = run.links
-    found = run.matches if column == "all" else run.matches.where(C("match_method") == "exact_title_year")
+    layers = ["exact_title_year", "exact_title_year_pm1"]
+    found = run.matches.where(C("match_method").isin(layers if column == "all" else layers[:1]))
     return link.without_matched(a, found, "a_row_id"), link.without_matched(b, found, "b_row_id")
 
 
@@ -819,7 +820,7 @@ def _bins(df: DataFrame) -> DataFrame:
     return df.withColumn("bin_start", F.round("bin_start", 6))
 
 
-@register("linkage_score_histogram", _histogram_sql("matches", "linkage_score", 30))
+@register("linkage_score_histogram", _histogram_sql("matches_all", "linkage_score", 30))
 def linkage_score_histogram(spark, sf_dir):
     return _bins(link.linkage_score_histogram(sql_run(spark, sf_dir).matches))
 
@@ -935,7 +936,7 @@ def _master_rows(df: DataFrame) -> DataFrame:
 @register("golden_record", _MASTER_SQL)
 def golden_record(spark, sf_dir):
     run = sql_run(spark, sf_dir)
-    return _master_rows(golden.golden_record(run.clean_a, run.clean_b, run.strong))
+    return _master_rows(golden.golden_record(run.clean_a, run.clean_b, run.strong, StageStore(spark).save))
 
 
 @register("build_merged", _MASTER_SQL + " WHERE record_type = 'merged'")
@@ -976,7 +977,7 @@ def source_trace(spark, sf_dir):
 )
 def assign_master_id(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return golden.assign_master_id(rows, ["O", "P", "F"], "o_orderstatus", "o_orderkey", "id")
+    return golden.assign_master_id(rows, ["O", "P", "F"], "o_orderstatus", "o_orderkey", "id", StageStore(spark).save)
 
 
 _SCORES = [f"{d}_score" for d in ("completeness", "validity", "consistency", "uniqueness", "traceability", "data_quality")]
@@ -1500,14 +1501,13 @@ _NEAR = (
 
 @register(
     "recommend", _NEAR, content=_CONTENT,
-    hits="SELECT lower(title_display) AS asked, min(movie_master_id) AS key FROM master WHERE lower(title_display) = (SELECT lower(title_display) FROM master WHERE movie_master_id = 'M_0000001') GROUP BY 1",
+    hits="SELECT lower(title_display) AS asked, min(movie_master_id) AS key FROM master WHERE lower(title_display) IN (SELECT lower(title_display) FROM master WHERE substr(movie_master_id, 3)::BIGINT % 100 = 0) GROUP BY 1",
     **_tfidf("content", "movie_master_id", "content_text"),
 )
 def recommend_query(spark, sf_dir):
     run = sql_run(spark, sf_dir)
-    # the first record of the catalogue is asked for
-    title = run.master.where(C("movie_master_id") == "M_0000001").first()["title_display"]
-    near = recommend.recommend(run.master, run.features, [title.upper()])
+    titles = run.master.where(golden.master_sequence(C("movie_master_id")) % 100 == 0).select(F.upper("title_display").alias("title"))
+    near = recommend.recommend(run.master, run.features, titles)
     return near.withColumn("rating_normalized", F.round("rating_normalized", 6))
 
 
@@ -1518,10 +1518,20 @@ def recommend_query(spark, sf_dir):
     "/ sqrt(list_dot_product(q.embedding::double[], q.embedding::double[])), 6) AS similarity, "
     "row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(e.embedding::double[], q.embedding::double[]) / sqrt(list_dot_product(e.embedding::double[], e.embedding::double[])) "
     "/ sqrt(list_dot_product(q.embedding::double[], q.embedding::double[])), 9) DESC, e.vec_id) AS rn "
-    "FROM embeddings q JOIN embeddings e ON e.vec_id <> q.vec_id WHERE q.vec_id IN (0, 1, 2)) WHERE rn <= 10",
+    "FROM embeddings q JOIN embeddings e ON e.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0) WHERE rn <= 10",
 )
 def cosine_knn(spark, sf_dir):
-    near = recommend.cosine_knn(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", [0, 1, 2], 10)
+    near = recommend.cosine_knn(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _hundredths(spark, sf_dir), 10)
+    return near.withColumn("similarity", F.round("similarity", 6))
+
+
+def _hundredths(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").where(C("vec_id") % 100 == 0).select(C("vec_id").alias("key"))
+
+
+@register("cosine_knn_approximate")
+def cosine_knn_approximate(spark, sf_dir):
+    near = recommend.cosine_knn_approximate(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", _hundredths(spark, sf_dir), 10)
     return near.withColumn("similarity", F.round("similarity", 6))
 
 
@@ -1529,13 +1539,13 @@ def cosine_knn(spark, sf_dir):
     "cosine_knn_documents",
     "SELECT query, key, round(similarity, 6) AS similarity FROM (SELECT query, key, similarity, row_number() OVER (PARTITION BY query ORDER BY similarity DESC, key) AS rn FROM ("
     "SELECT f.key AS query, g.key AS key, round(sum(f.weight * g.weight), 9) AS similarity FROM features f "
-    "JOIN features g ON f.term = g.term AND f.key <> g.key WHERE f.key = (SELECT min(doc_id) FROM documents) GROUP BY 1, 2)) WHERE rn <= 10",
+    "JOIN features g ON f.term = g.term AND f.key <> g.key WHERE f.key % 100 = 0 GROUP BY 1, 2)) WHERE rn <= 10",
     **_tfidf("documents", "doc_id", "text"),
 )
 def cosine_knn_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     features = StageStore(spark).save(recommend.tfidf_features(docs, "doc_id", "text"), "features")
-    near = recommend.sparse_knn(features, docs.agg(F.min("doc_id").alias("key")), 10)
+    near = recommend.sparse_knn(features, docs.where(C("doc_id") % 100 == 0).select(C("doc_id").alias("key")), 10)
     return near.withColumn("similarity", F.round("similarity", 6))
 
 

@@ -312,7 +312,7 @@ TABLES: dict[str, str] = {
     "fuzzy": FUZZY,
     "matches": "SELECT * FROM exact UNION ALL SELECT * FROM pm1",
     "matches_all": "SELECT * FROM matches UNION ALL SELECT * FROM fuzzy",
-    "strong": "SELECT * FROM matches WHERE match_status = 'strong_match'",
+    "strong": "SELECT * FROM matches_all WHERE match_status = 'strong_match'",
     "truth": "SELECT a.*, b.* FROM clean_a a JOIN clean_b b ON a.a_row_id = b.b_row_id % 1000000000",
     "master_plain": MASTER_PLAIN,
     "bounds": BOUNDS,
