@@ -2,7 +2,7 @@
 
 Every element is a node that is content or not. A node has observed features (tag, words of class, id
 and role, share of linked text, length of text); each child depends on its parent. The tables are counted on
-labelled pages. Messages go up from the leaves and down from the root (sum-product on the tree), which
+labelled pages, fixed ones and several hundred that are written by rules. Messages go up from the leaves and down from the root (sum-product on the tree), which
 gives every node its marginal probability of being content; a block of text is kept if its node is
 content. Work and memory per page are linear in its nodes.
 """
@@ -18,12 +18,16 @@ from math import exp, log
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from fusework.llm.labelled_pages import PAGES
+from fusework.llm.labelled_pages import PAGES, written_pages
 from fusework.llm.textbatch import bounded_batches, send
 
 # Fixed values of HTML: elements without an end tag, without text of the page, and inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("script style noscript template head title iframe object svg math canvas audio video datalist".split())
+UNSEEN = frozenset(
+    "script style noscript template head title iframe object svg math canvas audio video datalist button select textarea".split()
+)
+HEAD_PARTS = frozenset("head title meta link base script style noscript template".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend summary".split())
 RAW = frozenset("script style title textarea iframe noscript".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span "
@@ -47,6 +51,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"[\s ]+")
 PART = re.compile(r"[A-Z]?[a-z]+")
+LABELLED = (*PAGES, *written_pages(300))
 
 
 @dataclass
@@ -57,15 +62,21 @@ class Node:
     label: int | None = None
     text: int = 0  # characters below
     linked: int = 0  # of these, within links
+    heading: list = field(default_factory=list)  # texts of headings up to two levels below
+    after: str = ""  # an article or main element among the earlier siblings
     pieces: list = field(default_factory=list)
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """(nodes in document order, blocks of text with their node). Node 0 stands for the page.
 
-    Block elements and line breaks end a block. Unclosed and stray tags are put up with, as browsers do.
+    Block elements and line breaks end a block. Unclosed and stray tags are put up with, as browsers do: a page or
+    fragment with any element has an html and a body element, whether they are written or not.
     """
     nodes, stack = [Node("page", -1)], [0]
+    links, special = 0, {"html": 0, "body": 0}
+    titles: list[int] = []  # places of the open headings in the stack
+    last_text: dict[int, str] = {}  # of each node, the kind of article that a child of it was
     blocks: list[tuple[int, list[str]]] = []
     at, unseen, opened = 0, 0, True
 
@@ -82,10 +93,35 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             opened = False
         blocks[-1][1].append(text)
         size = len("".join(text.split()))
-        link = any(nodes[n].tag == "a" for n in stack[-4:])
         node = nodes[stack[-1]]
         node.text += size
-        node.linked += size * link
+        node.linked += size * (links > 0)
+        if titles and size:
+            # a heading speaks for its parent and the element above
+            for above in stack[max(0, titles[-1] - 2) : titles[-1]]:
+                if len(nodes[above].heading) < 8:
+                    nodes[above].heading.append(text)
+
+    def close_to(depth: int) -> None:
+        nonlocal unseen, opened, links
+        for n in stack[depth:]:
+            unseen -= nodes[n].tag in UNSEEN
+            links -= nodes[n].tag == "a"
+            opened |= nodes[n].tag not in INLINE
+        del stack[depth:]
+        while titles and titles[-1] >= depth:
+            titles.pop()
+
+    def open_element(tag: str, words: frozenset, label: int | None) -> None:
+        nonlocal links
+        parent = stack[-1]
+        nodes.append(Node(tag, parent, words, label, after=last_text.get(parent, "")))
+        if tag in ("article", "main"):
+            last_text[parent] = tag
+        stack.append(len(nodes) - 1)
+        links += tag == "a"
+        if tag in HEADINGS:
+            titles.append(len(stack) - 1)
 
     end = len(page)
     while at < end:
@@ -104,10 +140,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if match[1]:
             depth = next((k for k in range(len(stack) - 1, 0, -1) if nodes[stack[k]].tag == tag), 0)
             if depth:
-                for n in stack[depth:]:
-                    unseen -= nodes[n].tag in UNSEEN
-                    opened |= nodes[n].tag not in INLINE
-                del stack[depth:]
+                if tag in special:
+                    continue  # what comes after the end of the body is part of it
+                close_to(depth)
             elif tag == "p":
                 opened = True
             continue
@@ -121,11 +156,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if nodes[stack[k]].tag in kinds | fence), 0)
                 if not depth or nodes[stack[depth]].tag in fence:
                     break
-                del stack[depth:]
+                close_to(depth)
         elif tag in ENDS_P:
             depth = next((k for k in range(len(stack) - 1, 0, -1) if nodes[stack[k]].tag not in INLINE), 0)
             if depth and nodes[stack[depth]].tag == "p":
-                del stack[depth:]
+                close_to(depth)
         attributes = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(match[3])} if match[3].strip() else {}
         label = {"0": 0, "1": 1}.get(attributes.get("data-content"))  # pages use the attribute for text of their own too
         words = frozenset(
@@ -133,19 +168,29 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         )
         if "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", ""):
             words |= {"hidden"}
-        nodes.append(Node(tag, stack[-1], words, label))
         if match[3].endswith("/") and tag in ("svg", "path"):
             continue
-        stack.append(len(nodes) - 1)
+        if tag in special and special[tag]:
+            node = nodes[special[tag]]
+            node.words, node.label = node.words | words, node.label if label is None else label
+            continue
+        if tag != "html" and not special["html"]:
+            open_element("html", frozenset(), None)
+            special["html"] = stack[-1]
+        if tag not in ("html", "body", "frameset") and tag not in HEAD_PARTS and not special["body"] and not unseen:
+            open_element("body", frozenset(), None)
+            special["body"] = stack[-1]
+        open_element(tag, words, label)
+        if tag in special:
+            special[tag] = stack[-1]
         unseen += tag in UNSEEN
         if tag in RAW:
             close = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
-            inner = page[at : close.start() if close else end]
-            if tag == "textarea":
-                add(inner)
             at = close.start() if close else end
     if len(nodes) == 1:
         nodes[0].tag = "text"  # no element at all
+    elif special["body"] == len(nodes) - 1:
+        nodes[-1].tag = "text"  # none but the body
     for k in range(len(nodes) - 1, 0, -1):
         node, parent = nodes[k], nodes[nodes[k].parent]
         parent.text += node.text
@@ -157,8 +202,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 def features(node: Node) -> list[str]:
     """What is observed at a node, as names."""
     share = 0 if not node.linked else 1 + min(3, int(4 * node.linked / max(1, node.text)))
-    size = 0 if not node.text else 1 + min(4, len(str(node.text)))
-    return [f"tag {node.tag}", f"linked {share}", f"size {size}", *sorted(f"word {w}" for w in node.words)]
+    size = sum(node.text >= least for least in (1, 25, 100))
+    titles = frozenset(w.lower() for w in PART.findall(" ".join(node.heading).lower())) if node.tag not in ("html", "body") else ()
+    return [
+        f"tag {node.tag}", f"linked {share}", f"size {size}", f"after {node.after}", *sorted(f"word {w}" for w in node.words),
+        *sorted(f"title {w}" for w in titles if len(w) > 2),
+    ]
 
 
 @dataclass
@@ -232,7 +281,7 @@ def train(pages: list[str]) -> TreeModel:
                 roots[label[k]] += 1
     potentials = {}
     for f, c in seen.items():
-        weight = 1.0 if f.startswith(("tag", "word")) else 0.3  # sizes of nested nodes repeat each other
+        weight = 1.0 if f.startswith(("tag", "word", "title", "after")) else 0.3  # sizes of nested nodes repeat each other
         potentials[f] = weight * (log((c[1] + 0.3) / (totals[1] + 0.6)) - log((c[0] + 0.3) / (totals[0] + 0.6)))
     tables = {}
     base = {(p, c): (edges[""].get((p, c), 0) + 0.5) / (sum(edges[""].get((p, x), 0) for x in (0, 1)) + 1) for p in (0, 1) for c in (0, 1)}
@@ -256,9 +305,12 @@ def extract(page: str, model: TreeModel) -> str:
     return "\n".join(text for node, text in blocks if content[node] > 0.5)
 
 
-def extract_pages(pages: DataFrame, labelled: tuple[str, ...] = PAGES) -> DataFrame:
+def extract_pages(pages: DataFrame, labelled: tuple[str, ...] = LABELLED) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages``; NULL html is an empty page.
 
+    Empty pages have an empty text. Repeated rows give repeated rows, an empty table an empty one; other columns don't matter, and
+    very long pages take time in proportion.
+
     ``labelled`` are the pages the model is trained on, on the driver: a fixed set.
     """
     spark = pages.sparkSession

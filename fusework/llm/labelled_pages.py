@@ -1,5 +1,9 @@
 """Labelled pages for training: data-content="1" opens content, "0" what is not, down to the next mark."""
 
+from __future__ import annotations
+
+import random
+
 _P = "The river rose again in the night, and by morning the lower road was under water from the mill to the bridge."
 _Q = "Nobody was surprised. The council had been warned in spring, and the repairs were put off until the money came."
 _R = "Short note."
@@ -55,3 +59,111 @@ cool 20</pre><p>{_LONG}</p></div>
     _R,
     _LONG,
 )
+
+
+_WORDS = (
+    "water road village council winter repair bridge morning people market paper garden letter engine summer number reason "
+    "teacher window harbour question answer river stone history machine evening measure school doctor family ticket "
+    "old new long early quiet narrow public open simple heavy found built moved asked wrote began carried showed kept sold "
+    "the the the of of and and in to a was with for on by from that had were not but after before between"
+).split()
+
+
+def _text(rng: random.Random, words: int) -> str:
+    out = []
+    while words > 0:
+        n = min(words, rng.randint(6, 18))
+        out.append(" ".join(rng.choices(_WORDS, k=n)).capitalize() + rng.choice("....?!"))
+        words -= n
+    return " ".join(out)
+
+
+def _article(rng: random.Random) -> str:
+    """The inner HTML of an article: paragraphs of very different lengths, lists, quotes, tables, parts, pictures."""
+    parts = [f"<h1>{_text(rng, rng.randint(2, 8))}</h1>"] if rng.random() < 0.8 else []
+    for _ in range(rng.choice([1, 2, 3, 5, 8])):
+        short = _text(rng, rng.randint(3, 12))
+        whole = _text(rng, rng.choice([8, 20, 40, 80, 200, 600]))
+        parts.append(rng.choice([
+            f"<p>{whole}</p>", f"<p>{whole}</p>", f"<p>{whole}</p>", f"<p>{whole} <a href='/x'>{_text(rng, 2)}</a> {short}</p>",
+            f"<p><b>{short}</b> {whole}</p>", f"<h2>{short}</h2><p>{whole}</p>", f"<ul><li>{short}</li><li>{whole}</li></ul>",
+            f"<ol><li>{short}</li><li>{short}</li></ol>", f"<blockquote><p>{whole}</p></blockquote>", f"<section><h3>{short}</h3><p>{whole}</p></section>",
+            f"<table><tr><th>{_text(rng, 1)}</th><th>{_text(rng, 2)}</th></tr><tr><td>{short}</td><td>{_text(rng, 3)}</td></tr></table>",
+            f"<figure><img src='p'><figcaption>{short}</figcaption></figure>", f"<pre>{short}</pre>", f"<div><p>{whole}</p></div>", f"<p>{short}</p>",
+        ]))
+        if rng.random() < 0.08:
+            parts.append(f"<div class='{rng.choice(['ad', 'promo', 'newsletter'])}' data-content='0'><p>{_text(rng, 8)}</p></div>")
+    return "\n".join(parts)
+
+
+def _named(rng: random.Random, tag: str, names: str, inner: str, share: float = 0.6) -> str:
+    """An element with a class or id of one of ``names``, or without any."""
+    name = f' {rng.choice(["class", "id"])}="{rng.choice(names.split())}"' if names and rng.random() < share else ""
+    return f"<{tag}{name}>{inner}</{tag}>"
+
+
+def _links(rng: random.Random, least: int = 2) -> str:
+    return "".join(f"<li><a href='/{k}'>{_text(rng, rng.randint(1, 6))}</a></li>" for k in range(rng.randint(least, 7)))
+
+
+def _before(rng: random.Random) -> list[str]:
+    say = lambda n: _text(rng, rng.randint(3, n))
+    return [
+        _named(rng, "nav", "menu navigation top-nav", f"<ul>{_links(rng)}</ul>"),
+        _named(rng, "header", "site-header header masthead", rng.choice([f"<a href='/'>{say(4)}</a><p>{say(9)}</p>", f"<h1>{say(4)}</h1>", f"<p>{say(8)}</p>"])),
+        _named(rng, "div", "navbar menu nav breadcrumb", f"<ul>{_links(rng)}</ul>", 0.9),
+        _named(rng, "div", "cookie-notice alert notice banner consent", f"<p>{say(16)}</p><button>{say(3)}</button>", 1),
+        _named(rng, "div", "advert ad ads sponsored promo banner", f"<p>{say(14)}</p>", 1),
+    ]
+
+
+def _behind(rng: random.Random) -> list[str]:
+    say = lambda n: _text(rng, rng.randint(3, n))
+    remark = lambda: _text(rng, rng.choice([5, 12, 30, 80]))
+    title = rng.choice(["Comments", "Reader comments", "3 comments", "Leave a comment", "Responses", "Discussion", "What readers say"])
+    kind = rng.choice(["div", "article", "li"])
+    remarks = "".join(_named(rng, kind, "comment reply response", f"<p>{remark()}</p>") for _ in range(rng.randint(1, 5)))
+    remarks = f"<ul>{remarks}</ul>" if kind == "li" else remarks
+    plain = "".join(f"<p>{remark()}</p>" for _ in range(rng.randint(1, 4)))
+    heading = rng.choice(["h2", "h3", "h4"])
+    more = rng.choice(["Related", "Related articles", "Most read", "More stories", "Read next", "Recent posts", "Popular", "Archive", "Categories"])
+    return [
+        _named(rng, rng.choice(["section", "div"]), "comments discussion comment-list", f"<{heading}>{title}</{heading}>{rng.choice([remarks, plain])}"),
+        _named(rng, "section", "comments responses", remarks, 1),
+        _named(rng, "aside", "sidebar related widget", f"<{heading}>{more}</{heading}><ul>{_links(rng)}</ul>"),
+        _named(rng, "aside", "sidebar widget", f"<p>{say(16)}</p>"),
+        _named(rng, "div", "related sidebar recommended widget", f"<{heading}>{more}</{heading}><ul>{_links(rng)}</ul>"),
+        _named(rng, "form", "newsletter subscribe search contact", f"<{heading}>{rng.choice(['Subscribe', 'Newsletter', 'Sign up', 'Search', 'Contact'])}</{heading}><label>{say(4)}</label><p>{say(9)}</p><button>Go</button>"),
+        _named(rng, "div", "share social tags pagination", f"<ul>{_links(rng)}</ul>", 0.9),
+        _named(rng, "div", "legal copyright disclaimer footer popup modal", f"<p>{say(14)}</p>", 1),
+    ]
+
+
+def written_pages(n: int, seed: int = 5) -> tuple[str, ...]:
+    """``n`` labelled pages written by rules: whole pages and fragments, with and without names that tell what is what."""
+    rng, pages = random.Random(seed), []
+    for k in range(n):
+        inner = _article(rng)
+        body = rng.choice([
+            f'<article data-content="1">{inner}</article>', f'<main data-content="1">{inner}</main>',
+            f'<main data-content="1"><article>{inner}</article></main>', f'<div class="{rng.choice(["content", "post", "entry", "story", "article"])}" data-content="1">{inner}</div>',
+            f'<div data-content="1">{inner}</div>', f'<div id="content"><article data-content="1">{inner}</article></div>',
+        ])
+        if k % 6 == 0:
+            # a fragment, or text without any element, or in the body alone
+            alone = _text(rng, rng.choice([3, 30, 300]))
+            pages.append(body if k % 12 else rng.choice([alone, f"<html><body data-content='1'>{alone}</body></html>"]))
+            continue
+        before = rng.sample(_before(rng), rng.randint(0, 3))
+        behind = rng.sample(_behind(rng), rng.randint(0, 4))
+        end = [_named(rng, "footer", "footer site-footer", f"<p>{_text(rng, 8)}</p><ul>{_links(rng)}</ul>")] if rng.random() < 0.7 else []
+        page = "\n".join([*before, body, *behind, *end])
+        if k % 6 == 1:
+            pages.append(page)
+        elif k % 6 == 3:
+            pages.append(f"<html><body><form method='post' id='main-form'>{page}</form></body></html>")  # a form around a whole page
+        elif k % 6 == 2:
+            pages.append(f"<html><head><title>{_text(rng, 3)}</title></head><body><div class='wrapper'>{page}</div></body></html>")
+        else:
+            pages.append(f"<!DOCTYPE html><html><head><title>{_text(rng, 3)}</title></head><body>{page}</body></html>")
+    return tuple(pages)
