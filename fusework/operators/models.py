@@ -23,6 +23,10 @@ PROFIT_FEATURES = ("budget_usd", "runtime_min", "popularity_tmdb", "vote_count_t
 REVENUE_FEATURES = ("log_budget", "runtime_min", "popularity_tmdb", "vote_count_tmdb", "release_year")
 
 
+PROFIT_REPORT = "model string, accuracy double, f1 double, roc_auc double, n_train bigint, n_test bigint"
+REVENUE_REPORT = "model string, r2 double, mae_log double, n_train bigint, n_test bigint"
+
+
 class MedianFiller(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Learns the exact median of each input column; its model fills gaps with them."""
 
@@ -127,12 +131,12 @@ def profitability_models(
     target: str = "is_profitable",
     features: Sequence[str] = PROFIT_FEATURES,
     settings: Settings = DEFAULTS,
-) -> DataFrame | None:
-    """Random forest against logistic regression; None below the minimum number of rows."""
+) -> DataFrame:
+    """Random forest against logistic regression; no rows below the minimum number of rows."""
     split, columns, _ = split_features(df, key, target, features, stage, "profit", settings, stratify="target")
     n_train, n_test = _sizes(split)
     if n_train + n_test < settings.min_model_rows:
-        return None
+        return df.sparkSession.createDataFrame([], PROFIT_REPORT)
     fitted = _fit_all(split, columns, {
         "RandomForest": RandomForestClassifier(
             labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
@@ -156,7 +160,7 @@ def profitability_models(
         f1 = 2 * m.tp / (m.guessed + m.actual) if m.guessed + m.actual else 0.0
         results.append((name, round(m.accuracy, 4), round(f1, 4), round(auc, 4), n_train, n_test))
     return df.sparkSession.createDataFrame(
-        results, "model string, accuracy double, f1 double, roc_auc double, n_train bigint, n_test bigint"
+        results, PROFIT_REPORT
     ).orderBy(F.desc("roc_auc"), "model")
 
 
@@ -167,12 +171,12 @@ def revenue_models(
     target: str = "log_revenue",
     features: Sequence[str] = REVENUE_FEATURES,
     settings: Settings = DEFAULTS,
-) -> DataFrame | None:
-    """Random forest, gradient boosting and ridge on a log target."""
+) -> DataFrame:
+    """Random forest, gradient boosting and ridge on a log target; no rows below the minimum number of rows."""
     split, columns, _ = split_features(df, key, target, features, stage, "revenue", settings)
     n_train, n_test = _sizes(split)
     if n_train + n_test < settings.min_model_rows:
-        return None
+        return df.sparkSession.createDataFrame([], REVENUE_REPORT)
     fitted = _fit_all(split, columns, {
         "RandomForestRegressor": RandomForestRegressor(
             labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
@@ -191,7 +195,7 @@ def revenue_models(
         mae = RegressionEvaluator(labelCol="target", metricName="mae").evaluate(predicted)
         results.append((name, round(r2, 4), round(mae, 4), n_train, n_test))
     return df.sparkSession.createDataFrame(
-        results, "model string, r2 double, mae_log double, n_train bigint, n_test bigint"
+        results, REVENUE_REPORT
     ).orderBy(F.desc("r2"), "model")
 
 

@@ -209,6 +209,7 @@ def isolation_forest(
 ) -> DataFrame:
     """Adds ``multivariate_outlier_iso``: about the 3 % of scored rows that isolate most easily.
 
+    With fewer than ``iso_min_rows`` rows nothing is judged and the flag is NULL.
     Rows are scored where they stand, so keys may repeat; ``key`` only draws the samples. ``stage`` writes
     a table and reads it back: features and scores are read more than once.
     """
@@ -217,7 +218,7 @@ def isolation_forest(
     usable = rows.where(F.col(names[0]).isNotNull())
     n_rows = usable.count()
     if n_rows < settings.iso_min_rows:
-        return df.withColumn("multivariate_outlier_iso", F.lit(False))
+        return df.withColumn("multivariate_outlier_iso", F.lit(None).cast("boolean"))
     nodes = isolation_nodes(usable.select(F.col(key).alias("key"), *names), n_rows, settings)
     score = isolation_scorer(nodes, names, min(settings.iso_sample, n_rows), settings.iso_trees)
     scored = rows.withColumn("__iso_score", F.when(F.col(names[0]).isNotNull(), score)).drop(*names)

@@ -194,7 +194,7 @@ def stage_analysis(run: CatalogRun) -> dict[str, DataFrame]:
     )
     genres, marketing = ranking.genre_investment_ranking(master), ranking.marketing_priority_ranking(master)
     out |= {"tfidf": run.features, "genre_ranking": genres, "marketing_ranking": marketing}
-    out |= {k: v for k, v in (("profit_models", profit), ("revenue_models", revenue)) if v is not None}
+    out |= {"profit_models": profit, "revenue_models": revenue}
     out["conclusions"] = ranking.conclusions_facts(master, genres, marketing, profit, revenue)
     return out
 

@@ -336,7 +336,7 @@ def test_models_learn(run):
     profit = models.profitability_models(run.master, "movie_master_id", run.stage)
     best = profit.first()
     assert best["roc_auc"] > 0.6 and best["n_train"] > best["n_test"] > 0
-    assert models.profitability_models(run.master.limit(20), "movie_master_id", lambda df, name: df) is None
+    assert models.profitability_models(run.master.limit(20), "movie_master_id", lambda df, name: df).count() == 0
 
 
 def test_recommender_unknown_title_gives_nothing(run):
