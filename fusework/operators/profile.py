@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fusework.config import DEFAULTS, Settings
 from fusework.functions.numbers import percent, percent_true
 from fusework.functions import parse as P
 from fusework.functions.text import normalize_basic_text

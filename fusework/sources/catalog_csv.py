@@ -71,7 +71,7 @@ def load_csv_source(
 
 
 def _load_records(spark: SparkSession, path: str, label: str, backslash: bool, row_id: str | None, stage) -> DataFrame:
-    records = read_records(spark, path, stage, backslash, header=True)
+    records = read_records(spark, path, stage, backslash, header=True, name=f"csv_records_{label}")
     header = records.where("record = 0").orderBy("file").limit(1).first()
     if header is None:
         raise ValueError(f"{path} has no header")

@@ -164,16 +164,21 @@ def fixed_splits(spark: SparkSession):
 
 
 def read_records(
-    spark: SparkSession, path: str, stage: Callable[[DataFrame, str], DataFrame], backslash: bool = False, header: bool = False
+    spark: SparkSession,
+    path: str,
+    stage: Callable[[DataFrame, str], DataFrame],
+    backslash: bool = False,
+    header: bool = False,
+    name: str = "csv_records",
 ) -> DataFrame:
-    """file, record (its place in the file, from 0), number, fields of every record, stored by ``stage``.
+    """file, record (its place in the file, from 0), number, fields of every record, stored by ``stage`` under ``name``.
 
     Numbers follow the files by name and the records in them, from 0 and without gaps, whatever the splits; with ``header``
     the first record of each file is not counted. Blank lines are no records. Equal to Python's reader over file after file.
     """
     with fixed_splits(spark):
         splits = entered_splits(scan_splits(spark, path, backslash), header)
-        return stage(_cut_records(spark, path, splits, backslash), "csv_records")
+        return stage(_cut_records(spark, path, splits, backslash), name)
 
 
 def _cut_records(spark: SparkSession, path: str, splits: list[tuple], backslash: bool) -> DataFrame:

@@ -17,7 +17,7 @@ from fusework.sources import catalog_csv as csv
 from fusework.sources.fixtures import cat_a, cat_b, table
 from oracles import expressions as E
 from oracles.context import flat, full_run, sql_run, truth_pairs
-from oracles.tables import IQR_COLUMNS, TABLES, query, token_set, union_genres, weighted_rating, profit, CONFLICT_GENRE
+from oracles.tables import IQR_COLUMNS, query, token_set, union_genres, weighted_rating, profit, CONFLICT_GENRE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

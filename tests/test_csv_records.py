@@ -96,6 +96,13 @@ def test_broken_files(spark, tmp_path):
     assert catalog_csv.load_csv_source(spark, str(tmp_path / "head.csv"), "x", multi_line=True).collect() == []
 
 
+def test_two_sources_in_one_store(spark, store, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text(f"k\n{name}\n")
+    one, two = (catalog_csv.load_csv_source(spark, str(tmp_path / f"{n}.csv"), n, row_id="i", stage=store.save) for n in "ab")
+    assert [tuple(r) for r in one.unionByName(two).orderBy("k").collect()] == [("a", "a", 0), ("b", "b", 0)]
+
+
 def test_states_follow_the_reader():
     plain, escaped = Lines(False), Lines(True)
     assert plain.after('a,"b', RECORD) == QUOTED and plain.after('b",c', QUOTED) == RECORD and plain.after('a"b,"c""', RECORD) == QUOTED
