@@ -51,13 +51,24 @@ def probe_shifts(edits: int = EDITS) -> list[tuple[int, int, int]]:
     ]
 
 
-def _place(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i as columns, as ``segment_places`` has them."""
-    parts = edits + 1
-    size = F.floor(length / parts).cast("int")
-    longer = (length % parts).cast("int")
-    before = F.greatest(F.lit(0), F.lit(i) - (F.lit(parts) - longer))
-    return size * i + before, size + F.when(F.lit(i) >= F.lit(parts) - longer, 1).otherwise(0)
+def _place(size: Column, longer: Column, i: int, edits: int) -> tuple[Column, Column]:
+    """Start (from 0) and size of segment i as columns, as ``segment_places`` has them for a line of ``size`` and ``longer``."""
+    least = edits + 1 - i  # segment i is a longer one if there are so many
+    before = F.greatest(F.lit(0), longer - least) if i else F.lit(0)
+    return size * i + before, size + (longer >= least).cast("int")
+
+
+def _cuts(lines: DataFrame, edits: int) -> DataFrame:
+    """``lines`` (line, n) with ``size<d>`` and ``longer<d>``: the size of the segments of a line d shorter, and how many have one more.
+
+    They are columns, as the optimizer would else write them into every key: the JVM compiles no method of over 8,000 bytes,
+    and runs the loop over the lines as byte code.
+    """
+    parts, columns = edits + 1, {}
+    for diff in range(edits + 1):
+        length = F.col("n") - diff
+        columns |= {f"size{diff}": F.floor(length / parts).cast("int"), f"longer{diff}": (length % parts).cast("int")}
+    return lines.withColumns(columns)
 
 
 def edit_distance(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -116,18 +127,13 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _keys(edits: int) -> tuple[list[Column], list[Column]]:
-    """Hashes of what a line (line, n) is indexed by, and of what it probes for."""
+    """Hashes of what a line (line, n, and its ``_cuts``) is indexed by, and of what it probes for."""
 
-    def key(length: Column, i: int, start: Column, size: Column) -> Column:
-        return F.xxhash64(length, F.lit(i), F.substring(F.col("line"), start + 1, size))
+    def key(diff: int, i: int, shift: int = 0) -> Column:
+        start, size = _place(F.col(f"size{diff}"), F.col(f"longer{diff}"), i, edits)
+        return F.xxhash64(F.col("n") - diff, F.lit(i), F.substring(F.col("line"), start + (1 + shift), size))
 
-    n = F.col("n")
-    index = [key(n, i, *_place(n, i, edits)) for i in range(edits + 1)]
-    probes = []
-    for diff, i, shift in probe_shifts(edits):
-        start, size = _place(n - diff, i, edits)
-        probes.append(key(n - diff, i, start + shift, size))
-    return index, probes
+    return [key(0, i) for i in range(edits + 1)], [key(*probe) for probe in probe_shifts(edits)]
 
 
 def _contested_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
@@ -139,7 +145,7 @@ def _contested_lines(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
     index, probes = _keys(edits)
     lines = _lines(docs).select(*_hashes(), "line", F.char_length("line").cast("int").alias("n")).where(F.col("n") >= min_chars)
     # an index key is also a probe key of length difference 0 and shift 0
-    keyed = lines.withColumn("key", F.explode(F.array(*probes)))
+    keyed = _cuts(lines, edits).select("h", "h2", "line", "n", F.explode(F.array(*probes)).alias("key"))
     contested = stored(
         keyed.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low < high").select("key"), "contested"
     )
@@ -155,7 +161,7 @@ def _close_lines(lines: DataFrame, edits: int) -> DataFrame:
     """h, h2, h_b, h2_b, edits of the pairs of ``lines`` within ``edits`` edits."""
     index, probes = _keys(edits)
     counts = [F.regexp_count("line", F.lit(c)).alias(f"c{k}") for k, c in enumerate(CLASSES)]
-    known = lines.select("h", "h2", "line", "n", F.array(*counts).alias("counts"))
+    known = _cuts(lines.select("h", "h2", "line", "n", F.array(*counts).alias("counts")), edits)
     left = known.select("h", "h2", "n", "counts", F.explode(F.array(*index)).alias("key"))
     right = known.select(
         F.col("h").alias("h_b"), F.col("h2").alias("h2_b"), F.col("n").alias("n_b"), F.col("counts").alias("counts_b"),
