@@ -123,7 +123,7 @@ def isolation_input(df: DataFrame, features: Sequence[str], skewed: Sequence[str
     numbers = {c: (F.log1p(F.col(c)) if c in skewed else F.col(c)).cast("double") for c in present}
     enough = sum(F.col(c).isNotNull().cast("int") for c in present) >= max(3, int(len(present) * 0.6))
     rows = df.where(enough).select(*[v.alias(c) for c, v in numbers.items()])
-    medians = exact_quantiles(_long(rows, present), "value", {"m": 0.5}, ["column"])
+    medians = exact_quantiles(_long(rows, present), "value", {"m": 0.5}, ["column"], few_groups=True)
     packed = medians.agg(F.map_from_entries(F.collect_list(F.struct("column", "m")))).scalar()
     filled = {
         f"__iso_{c}": F.when(enough, F.coalesce(v, F.element_at("__m", F.lit(c)), F.lit(0.0))) for c, v in numbers.items()
@@ -166,6 +166,20 @@ def isolation_nodes(rows: DataFrame, n_rows: int, settings: Settings = DEFAULTS)
     return sample.groupBy("tree").applyInPandas(_grow(features, settings.seed), _NODES)
 
 
+def _full_trees(feature: np.ndarray, cut: np.ndarray, path: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, cut) of all nodes above level ``depth``, and the path lengths of that level: every row takes ``depth`` steps.
+
+    A leaf further up sends every row to its left child, which has its path length.
+    """
+    feature, cut, path = feature.copy(), cut.copy(), path.copy()
+    above = 2**depth - 1
+    for node in range(above):
+        leaf = feature[:, node] < 0
+        path[leaf, 2 * node + 1] = path[leaf, node]
+        cut[leaf, node] = np.inf
+    return np.maximum(feature[:, :above], 0).astype(np.intp), cut[:, :above], path[:, above : 2 * above + 1]
+
+
 def isolation_scorer(nodes: DataFrame, features: list[str], sample: int, trees: int) -> Column:
     """The score of a row as a column. The model is bounded (trees times two nodes per sampled row), not the data."""
     model = nodes.toPandas()
@@ -179,22 +193,26 @@ def isolation_scorer(nodes: DataFrame, features: list[str], sample: int, trees:
     at = model["tree"].map(order).to_numpy(), model["node"].to_numpy()
     feature[at], cut[at], path[at] = model["feature"], model["cut"], model["path"]
     scale = float(_path_constant(np.array(sample)))
-    shared = nodes.sparkSession.sparkContext.broadcast((feature, cut, path))
+    shared = nodes.sparkSession.sparkContext.broadcast(_full_trees(feature, cut, path, depth))
 
     @F.pandas_udf("double")
     def score(x: pd.DataFrame) -> pd.Series:
         feature, cut, path = shared.value
-        data = x.to_numpy(dtype="float64")
-        lane = np.arange(len(data))
-        total = np.zeros(len(data))
-        for t in range(len(feature)):
-            node = np.zeros(len(data), dtype=np.int64)
-            for _ in range(depth):
-                f = feature[t, node]
-                step = 2 * node + 1 + (data[lane, np.maximum(f, 0)] > cut[t, node])
-                node = np.where(f >= 0, step, node)
-            total += path[t, node]
-        return pd.Series(2.0 ** (-total / len(feature) / scale))
+        columns = np.ascontiguousarray(x.to_numpy(dtype="float64").T)
+        n, values = columns.shape[1], columns.ravel()
+        total, lane = np.zeros(n), np.arange(n)
+        for t in range(len(path)):
+            # the root has one feature; below it each row looks up its node, counted within its level
+            node = (columns[feature[t, 0]] > cut[t, 0]).astype(np.intp)
+            for level in range(1, depth):
+                own = slice(2**level - 1, 2 ** (level + 1) - 1)
+                place = (feature[t, own] * n).take(node)
+                place += lane
+                right = values.take(place) > cut[t, own].take(node)
+                node += node
+                node += right
+            total += path[t].take(node)
+        return pd.Series(2.0 ** (-total / len(path) / scale))
 
     return score(F.struct(*features))
 

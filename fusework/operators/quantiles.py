@@ -25,10 +25,12 @@ def exact_quantiles(
     value: str,
     probs: dict[str, float],
     by: Sequence[str] = (),
+    few_groups: bool = False,
 ) -> DataFrame:
     """``by`` columns plus one column per entry of ``probs`` (linear interpolation) and ``__n``.
 
-    Missing values and groups with a NULL key are left out.
+    Missing values and groups with a NULL key are left out. ``few_groups``: the caller knows that the number of groups does
+    not grow with the rows, as that of columns; the rows are then not shuffled.
     """
     by = list(by)
     names, levels = list(probs), list(probs.values())
@@ -40,7 +42,7 @@ def exact_quantiles(
     margin = 2.0 / ACCURACY
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in levels for d in (-margin, margin)})
     sketch = F.percentile_approx("__v", cuts, F.lit(ACCURACY))
-    marked = attach(rows, rows.groupBy(*by).agg(sketch.alias("__cuts")), by, "__cuts")
+    marked = attach(rows, rows.groupBy(*by).agg(sketch.alias("__cuts")), by, "__cuts", few_groups)
     slot = sum((F.col("__v") > F.col("__cuts")[i]).cast("int") for i in range(len(cuts)))
     edges = ["__lo", "__hi"]  # NULL: open end
     sliced = marked.select(
@@ -88,7 +90,7 @@ def exact_quantiles(
     # a plain comparison drops nearly all rows before the array is looked into
     ends = [F.get("__ranges", F.lit(k)) for k in range(2 * len(levels))]
     in_some = reduce(or_, [r.isNotNull() & holds(r) for r in ends])
-    near = attach(rows, ranges, by, "__ranges").where(in_some).select(
+    near = attach(rows, ranges, by, "__ranges", few_groups).where(in_some).select(
         *by, "__v", F.explode(F.filter("__ranges", holds)).alias("r")
     )
     keys = [*by, *edges]
@@ -114,14 +116,17 @@ def exact_quantiles(
     )
 
 
-def attach(rows: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
+def attach(rows: DataFrame, facts: DataFrame, by: list[str], column: str, few_groups: bool = False) -> DataFrame:
     """Adds a column of facts per group; without groups it is one value and needs no join.
 
     With groups the facts are repeated ``SALTS`` times and the rows dealt over them by the partition
-    they come from, so that a join by shuffle has no hot group. Small facts are broadcast by Spark itself.
+    they come from, so that a join by shuffle has no hot group. Small facts are broadcast by Spark itself, but where they are an
+    aggregate it sees their size only when it has shuffled the rows; ``few_groups`` tells it before.
     """
     if not by:
         return rows.withColumn(column, facts.select(column).scalar())
+    if few_groups:
+        return rows.join(F.broadcast(facts), by)
     copies = facts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return rows.withColumn("__salt", F.spark_partition_id() % SALTS).join(copies, [*by, "__salt"]).drop("__salt")
 
