@@ -19,6 +19,9 @@ from fusework.llm.textbatch import bounded_batches, pieces, span_hashes, stored,
 WINDOW = 16  # words compared as one, and of a reported passage: longer than a common line
 REACH = 10  # windows of which one is picked
 LEAST_WORDS = WINDOW
+# Prefix sums take 8 bytes a byte, several times over, and idle workers keep what they once took.
+TEXT_BYTES = 256 << 10
+BATCH_BYTES = 2 << 20
 
 
 def picked(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -56,12 +59,12 @@ def windows(docs: DataFrame) -> DataFrame:
     uid tells documents with one doc_id apart. Windows are compared byte for byte by a 64-bit digest,
     white space included. Texts of fewer than ``WINDOW`` words, and NULL, have none.
     """
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     key = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("uid"), "text")
 
     def work(batches):
-        for batch, data, offsets in pieces(batches):
+        for batch, data, offsets in pieces(batches, size=TEXT_BYTES):
             starts, ends, row = word_spans(data, offsets)
             n = max(0, len(starts) - WINDOW + 1)
             at = np.flatnonzero(row[:n] == row[WINDOW - 1 :]) if n else np.zeros(0, np.int64)

@@ -36,9 +36,9 @@ def spaces() -> np.ndarray:
 SPACES = spaces()
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Arrow batches of this session end at a number of bytes, not only at a number of rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -100,8 +100,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) of each piece; NULL texts have no bytes."""
+def pieces(
+    batches: Iterable[pa.RecordBatch], column: str = "text", size: int = PIECE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) of each piece of at most ``size`` bytes, or one row; NULL texts have no bytes."""
     for batch in batches:
         values = batch.column(column)
         if values.null_count:
@@ -114,7 +116,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[
         data = np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.zeros(0, np.uint8)
         row = 0
         while row < len(values):
-            stop = int(np.searchsorted(bounds, bounds[row] + PIECE_BYTES, "right")) - 1
+            stop = int(np.searchsorted(bounds, bounds[row] + size, "right")) - 1
             stop = min(max(stop, row + 1), len(values))
             yield batch.slice(row, stop - row), data[bounds[row] : bounds[stop]], bounds[row : stop + 1] - bounds[row]
             row = stop

@@ -1,9 +1,11 @@
 """What keeps the corpus operators within their limits of time and memory."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fusework.llm import line_dedup
+from fusework.llm import line_dedup, substring_dedup
+from fusework.llm.textbatch import pieces
 
 
 @pytest.fixture
@@ -28,3 +30,15 @@ def test_cuts_of_lines(spark, edits):
     places = [line_dedup._place(F.col("size0"), F.col("longer0"), i, edits) for i in range(edits + 1)]
     for r in line_dedup._cuts(rows, edits).select("n", F.array(*[F.struct(*p) for p in places]).alias("p")).collect():
         assert [tuple(x) for x in r.p] == line_dedup.segment_places(r.n, edits)
+
+
+def test_windows_are_cut_in_small_pieces(spark):
+    rows = pa.table({"text": ["word " * 20_000, None, "x" * 1_000_000, *["some words " * 900] * 200]})
+    texts, rest = [], rows["text"].to_pylist()
+    for batch, data, offsets in pieces(rows.to_batches(), size=substring_dedup.TEXT_BYTES):
+        assert len(data) <= substring_dedup.TEXT_BYTES or batch.num_rows == 1
+        texts += [bytes(data[a:b]).decode() for a, b in zip(offsets, offsets[1:])]
+    assert texts == [t or "" for t in rest]
+    # workers get no more text at a time than these pieces need
+    substring_dedup.windows(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
