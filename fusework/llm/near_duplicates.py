@@ -14,6 +14,8 @@ tolerance lets another 1e-6 go at most.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -107,13 +109,14 @@ def shared_counts(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray)
     return out
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, d1, d2 (a digest of the set of shingles), sig (MinHash values as bytes).
+def sketches(docs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The columns ``by``, doc_id, n_shingles, d1, d2 (a digest of the set of shingles), sig (MinHash values as bytes).
 
     A text of one to four words is one shingle; a text without words, or NULL, has none.
     """
     bounded_batches(docs.sparkSession)
-    key = docs.schema["doc_id"].dataType.simpleString()
+    own = [*by, "doc_id"]
+    keys = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in own)
 
     def work(batches):
         rng = np.random.default_rng(7)
@@ -131,12 +134,12 @@ def sketches(docs: DataFrame) -> DataFrame:
                 d1[has] = np.add.reduceat(mix(hashes), at)
                 d2[has] = np.add.reduceat(mix(hashes ^ np.uint64(0x5BD1E995A5A5A5A5)), at)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
+                [*map(rows.column, own), pa.array(counts, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)),
                  pa.array([r.tobytes() for r in sig], pa.binary())],
-                ["doc_id", "n_shingles", "d1", "d2", "sig"],
+                [*own, "n_shingles", "d1", "d2", "sig"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {key}, n_shingles bigint, d1 bigint, d2 bigint, sig binary")
+    return docs.select(*own, "text").mapInArrow(work, f"{keys}, n_shingles bigint, d1 bigint, d2 bigint, sig binary")
 
 
 def distinct_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,35 +157,39 @@ def distinct_shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
     return hashes, owner, np.bincount(owner, minlength=n).astype(np.int64)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """node, root of all nodes of ``edges`` (a, b): root is the smallest node that a node is linked to.
 
     Each round links every node's larger neighbours, and the node, to its smallest neighbour, then the
-    same the other way round, until nothing changes. Rounds are few, as paths halve; each is a stored table.
+    same the other way round, until all trees are stars. Rounds are few, as paths halve; each is a stored table.
+    ``by`` names columns that the edges have too: graphs that have nothing to do with each other, in the same rounds.
     """
-    now = stored(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    last = None
-    while True:
+    by = list(by)
+    now = stored(edges.where("a != b").select(*by, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while not _all_stars(now, by):
         # large star: larger neighbours of a node go to its smallest neighbour or itself
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("n")).select("a", F.least("a", "n").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        both = now.union(now.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy(*by, "a").agg(F.min("b").alias("n")).select(*by, "a", F.least("a", "n").alias("m"))
+        # an edge at most for each there was, so the repeated ones can wait for the distinct of the small star
+        large = both.join(low, [*by, "a"]).where("b > a").select(*by, F.col("b").alias("a"), F.col("m").alias("b"))
         # small star: a node and its smaller neighbours go to the smallest of them
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(small_low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .union(small_low.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+        small_low = large.groupBy(*by, "a").agg(F.min("b").alias("m"))
+        now = stored(
+            large.join(small_low, [*by, "a"]).where("b != m").select(*by, F.col("b").alias("a"), F.col("m").alias("b"))
+            .union(small_low.select(*by, "a", F.col("m").alias("b"))).where("a != b").distinct(), "edges",
         )
-        now = stored(small, "edges")
-        size, total = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if (size, total) == last:
-            break
-        last = (size, total)
-    ends = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return ends.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    ends = now.select(*by, F.col("a").alias("node"), F.col("b").alias("root"))
+    return ends.union(now.select(*by, F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
 
+def _all_stars(edges: DataFrame, by: list[str]) -> bool:
+    """Whether each node has one smaller neighbour at most, and those that are one have none; what no round would change."""
+    ends = edges.select(*by, F.col("a").alias("node"), F.lit(1).alias("down")).union(edges.select(*by, F.col("b").alias("node"), F.lit(0).alias("down")))
+    nodes = ends.groupBy(*by, "node").agg(F.sum("down").alias("down"), F.min("down").alias("least"))
+    return not nodes.agg(F.count_if(F.expr("down > 1 OR (down = 1 AND least = 0)"))).first()[0]
 
-def _blocks(rows: DataFrame, key: list[str], count: str) -> DataFrame:
+
+def _blocks(rows: DataFrame, count: str) -> DataFrame:
     """Each row once for each pair of blocks of its group that its block is part of: bi <= bj, side."""
     block = F.pmod(F.xxhash64("rep"), F.col(count)).alias("block")
     placed = rows.withColumn("block", block)
@@ -193,11 +200,16 @@ def _blocks(rows: DataFrame, key: list[str], count: str) -> DataFrame:
     return placed.withColumn("cell", F.explode(cells)).select(*[c for c in placed.columns], "cell.bi", "cell.bj")
 
 
-def _cell_edges(needed, n_keys):
+def _same(names: Sequence[str], key: tuple[pa.Scalar, ...], n: int) -> dict[str, pa.Array]:
+    """Columns of n rows with the first values of a group's key."""
+    return {c: pa.repeat(v, n) for c, v in zip(names, key)}
+
+
+def _cell_edges(needed, by):
     """Candidate links of one cell as a forest: (a, b) rows, no more than members."""
 
     def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        bi, bj = key[n_keys].as_py(), key[n_keys + 1].as_py()
+        bi, bj = key[-2].as_py(), key[-1].as_py()
         reps = table.column("rep").to_numpy()
         blocks = table.column("block").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(reps), HASHES)
@@ -214,16 +226,16 @@ def _cell_edges(needed, n_keys):
         rank[order] = np.arange(len(order))
         label = forest(rank[pairs[pairs[:, 0] != pairs[:, 1]]], len(reps))
         moved = np.flatnonzero(label != np.arange(len(reps)))
-        return pa.table({"a": pa.array(reps[order][moved]), "b": pa.array(reps[order][label[moved]])})
+        return pa.table({**_same(by, key, len(moved)), "a": pa.array(reps[order][moved]), "b": pa.array(reps[order][label[moved]])})
 
     return work
 
 
-def _cell_links(needed, threshold):
+def _cell_links(needed, threshold, by):
     """Verified links of one cell: rep, the smallest rep it is linked to here (or itself), number of links."""
 
     def work(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        bi, bj = key[1].as_py(), key[2].as_py()
+        bi, bj = key[-2].as_py(), key[-1].as_py()
         reps = table.column("rep").to_numpy()
         blocks = table.column("block").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(len(reps), HASHES)
@@ -253,13 +265,15 @@ def _cell_links(needed, threshold):
         pairs = np.concatenate(found) if found else np.zeros((0, 2), int)
         label = forest(rank[pairs], len(reps))
         some = np.flatnonzero(links[order])
-        return pa.table({"rep": pa.array(reps[order][some]), "low": pa.array(reps[order][label[some]]), "links": pa.array(links[order][some])})
+        return pa.table({**_same(by, key, len(some)), "rep": pa.array(reps[order][some]), "low": pa.array(reps[order][label[some]]), "links": pa.array(links[order][some])})
 
     return work
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """rep, d1, shingles (sorted distinct 64-bit hashes as bytes) of ``docs`` (rep, text)."""
+def shingle_sets(docs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The columns ``by``, rep, d1, shingles (sorted distinct 64-bit hashes as bytes) of ``docs`` (rep, text)."""
+    own = [*by, "rep"]
+    keys = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in own)
 
     def work(batches):
         for rows, data, offsets in pieces(batches):
@@ -268,13 +282,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             values = [hashes[e - c : e] for e, c in zip(ends, counts)]
             digest = np.array([mix(v).sum(dtype=np.uint64) for v in values], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("rep"), pa.array(digest), pa.array([v.tobytes() for v in values], pa.binary())], ["rep", "d1", "shingles"]
+                [*map(rows.column, own), pa.array(digest), pa.array([v.tobytes() for v in values], pa.binary())], [*own, "d1", "shingles"]
             )
 
-    return docs.select("rep", "text").mapInArrow(work, "rep bigint, d1 bigint, shingles binary")
+    return docs.select(*own, "text").mapInArrow(work, f"{keys}, d1 bigint, shingles binary")
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+def near_duplicate_classes(
+    docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, by: Sequence[str] = ()
+) -> DataFrame:
     """doc_id, class_id, rep_id, n_links for every distinct doc_id of ``docs`` (doc_id bigint, text).
 
     ``rep_id`` is the smallest id with the same set of shingles. ``n_links`` counts the representatives
@@ -282,47 +298,53 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, tolera
     a document is linked to, over any number of links. A text without words is linked to nothing. Rows
     that repeat an id are one document; if their texts differ, the one whose shingles have the smallest
     digest counts. NULL ids take no part.
+
+    ``by`` names columns, never NULL, of several sets of documents that are joined each by itself, but in the same
+    Spark stages; they come first in the result.
     """
+    by = list(by)
+    types = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in by)
     needed = least_matches(threshold, tolerance)
     docs = docs.where("doc_id IS NOT NULL")
     # one text for each id: where rows disagree, the one with the smallest digest
-    sketch = stored(sketches(docs), "sketches")
-    sketch = sketch.groupBy("doc_id").agg(F.min(F.struct("d1", "d2", "n_shingles", "sig")).alias("s")).select("doc_id", "s.*")
+    sketch = stored(sketches(docs, by), "sketches")
+    sketch = sketch.groupBy(*by, "doc_id").agg(F.min(F.struct("d1", "d2", "n_shingles", "sig")).alias("s")).select(*by, "doc_id", "s.*")
     some = sketch.where("n_shingles > 0")
-    sets = some.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    member = stored(sketch.join(sets, ["d1", "d2", "n_shingles"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), "n_shingles", "d1", "d2", "sig"), "members")
-    reps = member.where("doc_id = rep AND n_shingles > 0").select("rep", "n_shingles", "d1", "d2", "sig")
+    sets = some.groupBy(*by, "d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    member = sketch.join(sets, [*by, "d1", "d2", "n_shingles"], "left")
+    member = stored(member.select(*by, "doc_id", F.coalesce("rep", "doc_id").alias("rep"), "n_shingles", "d1", "d2", "sig"), "members")
+    reps = member.where("doc_id = rep AND n_shingles > 0").select(*by, "rep", "n_shingles", "d1", "d2", "sig")
 
     # bands: the key is a hash of the band's number and bytes
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda k: F.xxhash64(k, F.substring(F.col("sig"), k * (4 * ROWS) + 1, F.lit(4 * ROWS))),
     )
-    keys = reps.select("rep", F.explode(bands).alias("band"))
-    full = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = keys.join(full, "band").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-    met = buckets.join(reps.select("rep", "sig"), "rep")
-    cells = _blocks(met, ["band"], "blocks").select("band", "bi", "bj", "rep", "block", "sig")
-    edges = cells.groupBy("band", "bi", "bj").applyInArrow(_cell_edges(needed, 1), "a bigint, b bigint")
-    groups = stored(components(edges), "groups")
+    keys = reps.select(*by, "rep", F.explode(bands).alias("band"))
+    full = keys.groupBy(*by, "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = keys.join(full, [*by, "band"]).withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    met = buckets.join(reps.select(*by, "rep", "sig"), [*by, "rep"])
+    cells = _blocks(met, "blocks").select(*by, "band", "bi", "bj", "rep", "block", "sig")
+    edges = cells.groupBy(*by, "band", "bi", "bj").applyInArrow(_cell_edges(needed, by), f"{types}a bigint, b bigint")
+    groups = stored(components(edges, by), "groups").withColumnRenamed("node", "rep")
 
     # the members of each group once more, with their shingles
-    grouped = groups.join(reps, F.col("node") == F.col("rep")).select("root", "rep", "n_shingles", "d1", "sig")
-    sizes = grouped.groupBy("root").agg(
+    grouped = groups.join(reps, [*by, "rep"]).select(*by, "root", "rep", "n_shingles", "d1", "sig")
+    sizes = grouped.groupBy(*by, "root").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")
     )
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(grouped.select("rep"), "rep", "left_semi")
-    known = shingle_sets(texts).dropDuplicates(["rep", "d1"])
-    verified = grouped.join(sizes, "root").join(known, ["rep", "d1"])
-    pairs = _blocks(verified, ["root"], "blocks").select("root", "bi", "bj", "rep", "block", "sig", "shingles")
+    texts = docs.select(*by, F.col("doc_id").alias("rep"), "text").join(grouped.select(*by, "rep"), [*by, "rep"], "left_semi")
+    known = shingle_sets(texts, by).dropDuplicates([*by, "rep", "d1"])
+    verified = grouped.join(sizes, [*by, "root"]).join(known, [*by, "rep", "d1"])
+    pairs = _blocks(verified, "blocks").select(*by, "root", "bi", "bj", "rep", "block", "sig", "shingles")
     links = stored(
-        pairs.groupBy("root", "bi", "bj").applyInArrow(_cell_links(needed, threshold), "rep bigint, low bigint, links bigint"), "links"
+        pairs.groupBy(*by, "root", "bi", "bj").applyInArrow(_cell_links(needed, threshold, by), f"{types}rep bigint, low bigint, links bigint"), "links"
     )
-    classes = components(links.select(F.col("rep").alias("a"), F.col("low").alias("b")))
-    counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    per_rep = counts.join(classes, F.col("rep") == F.col("node")).select("rep", "root", "links")
-    return member.join(per_rep, "rep", "left").select(
-        "doc_id", F.coalesce("root", "rep").alias("class_id"), F.col("rep").alias("rep_id"),
+    classes = components(links.select(*by, F.col("rep").alias("a"), F.col("low").alias("b")), by).withColumnRenamed("node", "rep")
+    counts = links.groupBy(*by, "rep").agg(F.sum("links").alias("links"))
+    per_rep = counts.join(classes, [*by, "rep"]).select(*by, "rep", "root", "links")
+    return member.join(per_rep, [*by, "rep"], "left").select(
+        *by, "doc_id", F.coalesce("root", "rep").alias("class_id"), F.col("rep").alias("rep_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
     )
 
@@ -334,13 +356,13 @@ def drop_near_duplicates(docs: DataFrame, whole: str | None = None) -> DataFrame
     of its class by these texts too, and the column is dropped. Rows with a NULL id stay, and so do texts
     without words. Rows that repeat a kept id stay too.
     """
-    def smallest(column: str) -> DataFrame:
-        classes = near_duplicate_classes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).alias("text")))
-        return classes.where("doc_id = class_id").select(F.col("doc_id").alias("id"))
-
-    keep = smallest("text")
+    columns = ["text", *([whole] if whole else [])]
+    # both texts of a document in one join: half the stages, whose exchanges and tasks the driver keeps account of
+    texts = [docs.select(F.lit(k).alias("side"), F.col("doc_id").cast("long").alias("doc_id"), F.col(c).alias("text")) for k, c in enumerate(columns)]
+    classes = near_duplicate_classes(reduce(DataFrame.union, texts), by=["side"])
+    smallest = classes.where("doc_id = class_id").groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    keep = smallest.where(F.col("n") == len(columns)).select("id")
     if whole:
-        keep = keep.join(smallest(whole), "id", "left_semi")
         docs = docs.drop(whole)
     boxed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"))
     kept = boxed.join(keep, "id", "left_semi")

@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fusework.llm import line_dedup, substring_dedup
+from fusework.llm import line_dedup, near_duplicates, substring_dedup
 from fusework.llm.textbatch import pieces
 
 
@@ -42,3 +42,37 @@ def test_windows_are_cut_in_small_pieces(spark):
     # workers get no more text at a time than these pieces need
     substring_dedup.windows(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
     assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 2 << 20
+
+
+def test_both_texts_of_a_document_are_joined_in_the_same_stages(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for g in range(8):
+        base = words[40 * g : 40 * g + 40]
+        rows += [(100 * k + g, " ".join(base if k % 2 else [*base[:-1], f"x{k}"]), " ".join(base[: 5 + 5 * (k % 3)])) for k in range(6)]
+    rows += [(7000, None, "one two three four five six"), (7001, "", "one two three four five six"), (None, "a b", "a b")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, whole_text string")
+    texts = [df.select(F.lit(k).alias("side"), "doc_id", F.col(c).alias("text")) for k, c in enumerate(("text", "whole_text"))]
+    alone = {(k, *r) for k, t in enumerate(texts) for r in near_duplicates.near_duplicate_classes(t.drop("side")).collect()}
+    both = near_duplicates.near_duplicate_classes(texts[0].union(texts[1]), by=["side"])
+    assert both.columns == ["side", "doc_id", "class_id", "rep_id", "n_links"] and {tuple(r) for r in both.collect()} == alone
+
+    names, stored = [], near_duplicates.stored
+    monkeypatch.setattr(near_duplicates, "stored", lambda t, name: names.append(name) or stored(t, name))
+    kept = near_duplicates.drop_near_duplicates(df, whole="whole_text")
+    smallest = [{d for side, d, c, *_ in alone if side == k and d == c} for k in (0, 1)]
+    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(smallest[0] & smallest[1])
+    assert kept.where("doc_id IS NULL").count() == 1
+    assert all(names.count(x) == 1 for x in ("sketches", "members", "groups", "links"))
+
+
+def test_rounds_of_components_end_with_stars(spark, monkeypatch):
+    names, stored = [], near_duplicates.stored
+    monkeypatch.setattr(near_duplicates, "stored", lambda t, name: names.append(name) or stored(t, name))
+    stars = [(k, k % 5) for k in range(5, 60)]
+    path = [(k, k + 1) for k in range(100, 112)]
+    for edges, rounds in ((stars, 0), (path, None), ([], 0)):
+        names.clear()
+        got = dict(near_duplicates.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
+        assert got == {x: 100 if x >= 100 else x % 5 for e in edges for x in e}
+        assert rounds is None or names == ["edges"]
