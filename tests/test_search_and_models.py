@@ -153,3 +153,25 @@ def test_sketches_of_two_loads(spark):
         assert abs(whole[c].n_unique - exact[c].n_unique) <= (0.05 * exact[c].n_unique if c == "id" else 0)
         assert (whole[c].n_rows, whole[c].n_null) == (exact[c].n_rows, exact[c].n_null)
     assert profile.profile_from_sketches(profile.column_sketches(one.limit(0), "s", "none")).where("n_rows = 0 AND n_unique = 0").count() == 4
+
+
+def test_sparse_search_in_small_batches_and_chunks_shuffles_no_pairs(spark, store, monkeypatch):
+    rng = random.Random(3)
+    texts = [(f"k{i:03}", " ".join(rng.choices("abcdefghijklmnopqrst", k=30)).replace("a", "aa")) for i in range(200)]
+    texts = [(k, " ".join(w * 2 for w in t.split())) for k, t in texts] + [("k900", "bb cc bb"), ("k901", "bb cc bb"), (None, "bb cc")]
+    df = spark.createDataFrame(texts, "key string, text string")
+    features = store.save(recommend.tfidf_features(df, "key", "text"), "features")
+    keys = df.where("key LIKE '%0'").select("key")
+    want = found(recommend.sparse_knn(features, keys, 4, store.save))
+    terms = {}
+    for r in features.where("key IS NOT NULL").collect():
+        terms.setdefault(r.key, {})[r.term] = r.weight
+    for q, near in want.items():
+        plain = [(-round(sum(w * terms[k].get(t, 0) for t, w in terms[q].items()), 9), k) for k in terms if k != q]
+        assert [(k, -s) for s, k in sorted(x for x in plain if x[0] < 0)[:4]] == [(k, round(s, 9)) for k, s in near]
+    assert len(want) == 21
+    # every text shares terms with every query; what is staged of a search does not grow with these pairs
+    assert store.load("best_0").count() <= 4 * len(want) * spark.sparkContext.defaultParallelism
+    for name, size in (("BATCH_TERMS", 90), ("CHUNK_TERMS", 300), ("BROADCAST_ROWS", 0)):
+        monkeypatch.setattr(recommend, name, size)
+    assert found(recommend.sparse_knn(features, keys, 4, store.save)) == want
