@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fusework.llm.textbatch import bounded_batches, mix, pieces, shingle_hashes, span_hashes, stored, word_spans
+from fusework.llm.textbatch import bounded_batches, mix, perhaps_in, pieces, shingle_hashes, span_hashes, stored, word_spans
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -307,8 +307,8 @@ def near_duplicate_classes(
     needed = least_matches(threshold, tolerance)
     docs = docs.where("doc_id IS NOT NULL")
     # one text for each id: where rows disagree, the one with the smallest digest
-    sketch = stored(sketches(docs, by), "sketches")
-    sketch = sketch.groupBy(*by, "doc_id").agg(F.min(F.struct("d1", "d2", "n_shingles", "sig")).alias("s")).select(*by, "doc_id", "s.*")
+    sketch = sketches(docs, by).groupBy(*by, "doc_id").agg(F.min(F.struct("d1", "d2", "n_shingles", "sig")).alias("s"))
+    sketch = stored(sketch.select(*by, "doc_id", "s.*"), "sketches")
     some = sketch.where("n_shingles > 0")
     sets = some.groupBy(*by, "d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
     member = sketch.join(sets, [*by, "d1", "d2", "n_shingles"], "left")
@@ -333,7 +333,9 @@ def near_duplicate_classes(
     sizes = grouped.groupBy(*by, "root").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("blocks")
     )
-    texts = docs.select(*by, F.col("doc_id").alias("rep"), "text").join(grouped.select(*by, "rep"), [*by, "rep"], "left_semi")
+    # most texts are in no group; they are told before the shuffle of the join
+    texts = perhaps_in(docs.select(*by, F.col("doc_id").alias("rep"), "text"), groups, [*by, "rep"], groups.count()).where("perhaps").drop("perhaps")
+    texts = texts.join(grouped.select(*by, "rep"), [*by, "rep"], "left_semi")
     known = shingle_sets(texts, by).dropDuplicates([*by, "rep", "d1"])
     verified = grouped.join(sizes, [*by, "root"]).join(known, [*by, "rep", "d1"])
     pairs = _blocks(verified, "blocks").select(*by, "root", "bi", "bj", "rep", "block", "sig", "shingles")
@@ -360,10 +362,11 @@ def drop_near_duplicates(docs: DataFrame, whole: str | None = None) -> DataFrame
     # both texts of a document in one join: half the stages, whose exchanges and tasks the driver keeps account of
     texts = [docs.select(F.lit(k).alias("side"), F.col("doc_id").cast("long").alias("doc_id"), F.col(c).alias("text")) for k, c in enumerate(columns)]
     classes = near_duplicate_classes(reduce(DataFrame.union, texts), by=["side"])
-    smallest = classes.where("doc_id = class_id").groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    keep = smallest.where(F.col("n") == len(columns)).select("id")
+    # every id that is not NULL has a class by each of its texts
+    gone = stored(classes.where("doc_id != class_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
     if whole:
         docs = docs.drop(whole)
-    boxed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id"))
-    kept = boxed.join(keep, "id", "left_semi")
-    return kept.unionByName(boxed.where("id IS NULL")).select("doc.*")
+    boxed = perhaps_in(docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("id")), gone, ["id"], gone.count())
+    # texts that surely stay are not shuffled
+    kept = boxed.where("perhaps AND id IS NOT NULL").join(gone, "id", "left_anti").select("doc")
+    return kept.union(boxed.where("NOT perhaps OR id IS NULL").select("doc")).select("doc.*")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 PIECE_BYTES = 2 << 20
 BATCH_BYTES = 16 << 20
+BITMAP_BITS = 32_768  # of a bitmap that Spark's bitmap functions make
+MOST_BITMAPS = 1 << 14
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -69,6 +71,27 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
+def perhaps_in(df: DataFrame, ids: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """``df`` with a column ``perhaps``: false only where ``ids``, of ``n`` rows, surely has no row with the same ``keys``.
+
+    Rows with wide columns can so be told from the few that a join by ``keys`` is about before they are shuffled. An id sets one
+    of 16 bits or more that there are for it, in broadcast bitmaps of 4 KB; beyond 64 MB of them more rows are in doubt.
+    """
+    spots = F.lit(BITMAP_BITS * min(1 << max(0, (16 * n // BITMAP_BITS).bit_length()), MOST_BITMAPS)).cast("bigint")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        spot = F.pmod(F.xxhash64(*keys), spots)
+        return rows.withColumns({"__map": F.floor(spot / BITMAP_BITS).cast("int"), "__bit": (spot % BITMAP_BITS).cast("int")})
+
+    # all rows of a bitmap meet first, so that no task sends a bitmap of its own for each
+    bits = placed(ids).select("__map", "__bit").repartition("__map")
+    maps = bits.groupBy("__map").agg(F.bitmap_construct_agg(F.col("__bit").cast("bigint")).alias("__bits"))
+    byte = F.substring("__bits", F.floor(F.col("__bit") / 8).cast("int") + 1, F.lit(1))
+    known = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), F.col("__bit") % 8) == 1
+    joined = placed(df).join(F.broadcast(maps), "__map", "left")
+    return joined.select(*df.columns, F.coalesce(known, F.lit(False)).alias("perhaps"))
+
+
 def send(spark: SparkSession, model):
     """Broadcasts an object's plain state, so that executors need no copy of this package.
 

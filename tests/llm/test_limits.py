@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fusework.llm import line_dedup, near_duplicates, substring_dedup
-from fusework.llm.textbatch import pieces
+from fusework.llm.textbatch import perhaps_in, pieces
 
 
 @pytest.fixture
@@ -76,3 +76,28 @@ def test_rounds_of_components_end_with_stars(spark, monkeypatch):
         got = dict(near_duplicates.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
         assert got == {x: 100 if x >= 100 else x % 5 for e in edges for x in e}
         assert rounds is None or names == ["edges"]
+
+
+def test_bitmaps_lose_no_row_and_doubt_few(spark):
+    ids = spark.range(0, 30_000, 10).union(spark.range(5)).selectExpr("id", "id % 2 AS side").union(spark.createDataFrame([(None, 1)], "id bigint, side bigint"))
+    rows = spark.range(30_000).crossJoin(spark.range(2).withColumnRenamed("id", "side")).withColumn("text", F.lit("t"))
+    told = perhaps_in(rows, ids, ["side", "id"], 3005)
+    assert told.columns == ["id", "side", "text", "perhaps"] and told.count() == 60_000
+    assert told.join(ids, ["id", "side"], "left_semi").where("NOT perhaps").count() == 0
+    assert told.where("perhaps").count() < 3005 + 60_000 / 12
+    assert perhaps_in(rows, ids.where("false"), ["side", "id"], 0).where("perhaps").count() == 0
+    # fewer bitmaps than rows would need: more doubt, no loss
+    few = perhaps_in(spark.range(100_000), spark.range(100_000), ["id"], 10)
+    assert few.where("NOT perhaps").count() == 0
+
+
+def test_texts_that_stay_are_not_shuffled(spark, no_adaptive):
+    rows = [(k, f"only text {k} of words that no other has{k}", f"whole {k} a{k} b{k} c{k}") for k in range(40)]
+    rows += [(100 + k, "the same seven words for all copies", "the same seven words for all copies") for k in range(5)]
+    df = spark.createDataFrame(rows * 2 + [(None, "x", "y")], "doc_id bigint, text string, whole_text string")
+    kept = near_duplicates.drop_near_duplicates(df, whole="whole_text")
+    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted([*range(40), 100] * 2)
+    assert kept.where("doc_id IS NULL").count() == 1
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    # the texts come twice: those in doubt through a join, the others as they are
+    assert "Union" in plan and plan.count("getbit") >= 2 and "LeftAnti" in plan
