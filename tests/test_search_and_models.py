@@ -2,12 +2,14 @@
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fusework.functions.indel import TokenSetBlock
 from fusework.operators import link, models, profile, recommend
+from oracles import registry
 from tests.test_functions import plain_token_set
 
 
@@ -175,3 +177,36 @@ def test_sparse_search_in_small_batches_and_chunks_shuffles_no_pairs(spark, stor
     for name, size in (("BATCH_TERMS", 90), ("CHUNK_TERMS", 300), ("BROADCAST_ROWS", 0)):
         monkeypatch.setattr(recommend, name, size)
     assert found(recommend.sparse_knn(features, keys, 4, store.save)) == want
+
+
+def test_every_document_is_asked_for(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices("abcdefghijklmnopqrst", k=25)).replace("a", "aa").replace(" ", "x ")) for i in range(1, 90)]
+    rows += [(1, "bx cx dx"), (None, "bx cx dx"), (95, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.QUERIES["cosine_knn_documents"](spark, str(tmp_path)).collect()
+    assert len({r["query"] for r in got}) == 89
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = db.execute(registry.SQL["cosine_knn_documents"]).fetchall()
+    assert sorted((r["query"], r["key"], round(r["similarity"], 6)) for r in got) == sorted(want)
+
+
+def test_sparse_search_in_pieces_of_any_size(spark, store, monkeypatch):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, " ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.randint(1, 40)))) for i in range(150)], "key bigint, text string")
+    features = recommend.tfidf_features(df, "key", "text")
+    conf = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    want = found(recommend.sparse_knn(features, df.select("key"), 3, store.save, together=True))
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == conf and len(want) > 100
+    # features that stand together are stored as they come
+    assert "hashpartitioning(key" not in recommend._segments(features.select("key", F.xxhash64("term").alias("number"), "weight"))._jdf.queryExecution().executedPlan().toString()
+    scattered = features.repartition(7, "term")
+    small = {"CHUNK_TERMS": 40, "SEGMENT_ROWS": 3, "QUERY_BLOCK": 4, "PAIRS": 9, "DENSE_TERMS": 2, "BATCH_TERMS": 700}
+    for sizes in ({"DENSE_SHARE": 1}, {"DENSE_SHARE": 10**9}, small, {**small, "DENSE_SHARE": 10**9, "FEW_PAIRS": 1}, {**small, "WORTH": 1.0, "FREQUENCY_BITS": 2}):
+        with monkeypatch.context() as m:
+            for name, size in sizes.items():
+                m.setattr(recommend, name, size)
+            assert found(recommend.sparse_knn(scattered if "WORTH" in sizes else features, df.select("key"), 3, store.save, together="WORTH" not in sizes)) == want
+    # a vector is in one segment
+    assert store.load("segments").selectExpr("explode(keys) AS key").groupBy("key").count().where("count > 1").count() == 0
