@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from fusework.config import DEFAULTS, Settings
+from fusework.operators.forest import fit_forest, predict_forest
 from fusework.operators.quantiles import attach, exact_quantiles
 from fusework.session import shared_dir
 
@@ -119,6 +121,14 @@ def _fit_all(split: DataFrame, features: list[str], models: dict) -> dict[str, D
     return predicted
 
 
+def _forest_predictions(split: DataFrame, key: str, features: list[str], stage, name: str, per_node: int, settings: Settings) -> DataFrame:
+    """(target, value) of the test rows, by a forest of the training rows."""
+    forest = fit_forest(
+        split.where(~F.col("is_test")), key, features, stage, name, settings.rf_trees, settings.rf_depth, settings.seed, per_node
+    )
+    return predict_forest(forest, split.where("is_test"), features)
+
+
 def _sizes(split: DataFrame) -> tuple[int, int]:
     row = split.agg(F.count_if(~F.col("is_test")), F.count_if("is_test")).first()
     return row[0], row[1]
@@ -137,11 +147,10 @@ def profitability_models(
     n_train, n_test = _sizes(split)
     if n_train + n_test < settings.min_model_rows:
         return df.sparkSession.createDataFrame([], PROFIT_REPORT)
-    fitted = _fit_all(split, columns, {
-        "RandomForest": RandomForestClassifier(
-            labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
-            seed=settings.seed, maxMemoryInMB=1024,  # more tree nodes per pass over the data
-        ),
+    voted = _forest_predictions(split, key, columns, stage, "profit", math.ceil(math.sqrt(len(columns))), settings)
+    share = F.round("value", 12)  # equal votes are equal, whatever order they were added in
+    fitted = {"RandomForest": voted.select("target", share.alias("rawPrediction"), (share > 0.5).cast("double").alias("prediction"))}
+    fitted |= _fit_all(split, columns, {
         # the unscaled penalty of one unit of inverse strength
         "LogisticRegression": LogisticRegression(
             labelCol="target", maxIter=500, regParam=1.0 / max(n_train, 1), standardization=False
@@ -177,11 +186,9 @@ def revenue_models(
     n_train, n_test = _sizes(split)
     if n_train + n_test < settings.min_model_rows:
         return df.sparkSession.createDataFrame([], REVENUE_REPORT)
-    fitted = _fit_all(split, columns, {
-        "RandomForestRegressor": RandomForestRegressor(
-            labelCol="target", numTrees=settings.rf_trees, maxDepth=settings.rf_depth,
-            seed=settings.seed, maxMemoryInMB=1024,  # more tree nodes per pass over the data
-        ),
+    voted = _forest_predictions(split, key, columns, stage, "revenue", math.ceil(len(columns) / 3), settings)
+    fitted = {"RandomForestRegressor": voted.withColumnRenamed("value", "prediction")}
+    fitted |= _fit_all(split, columns, {
         "GradientBoosting": GBTRegressor(
             labelCol="target", maxIter=100, maxDepth=3, stepSize=0.1, seed=settings.seed
         ),
