@@ -86,10 +86,9 @@ def exact_mean(score: str) -> Column:
 def winsor_histogram(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, bins: int = 50) -> DataFrame:
     """Histogram of the column with its tails clipped to two quantiles."""
     rows = df.where(F.col(column).isNotNull()).select(column)
-    edges = exact_quantiles(rows, column, {"lo": low, "hi": high}).select(F.struct("lo", "hi").alias("e")).scalar()
-    clipped = rows.withColumn("e", edges).select(
-        F.greatest(F.least(F.col(column), F.col("e.hi")), F.col("e.lo")).alias(column)
-    )
+    # two numbers; as a scalar subquery they would be planned again in each of the many places that the histogram reads them
+    lowest, highest = (F.lit(x).cast("double") for x in exact_quantiles(rows, column, {"lo": low, "hi": high}).select("lo", "hi").first())
+    clipped = rows.select(F.greatest(F.least(F.col(column), highest), lowest).alias(column))
     return equal_width_histogram(clipped, column, bins)
 
 

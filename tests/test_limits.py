@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from fusework.operators import outliers
+from fusework.operators import audit, outliers
 from fusework.operators.quantiles import exact_quantiles
 
 
@@ -42,3 +42,15 @@ def test_quantiles_of_few_groups_shuffle_no_rows(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_histograms_are_planned_once(spark):
+    rows = [(float(i % 97) ** 2,) for i in range(900)] + [(1e9,), (None,)]
+    df = spark.createDataFrame(rows, "v double")
+    found = audit.winsor_histogram(df, "v", bins=7)
+    values = np.array([v for v, in rows if v is not None])
+    low, high = np.quantile(values, [0.01, 0.99])
+    assert [r.n for r in found.orderBy("bin").collect()] == np.histogram(np.clip(values, low, high), 7)[0].tolist()
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") < 40
+    for odd in (df.where("v IS NULL"), df.where("false"), spark.createDataFrame([(float("nan"),)], "v double")):
+        assert audit.winsor_histogram(odd, "v", bins=3).count() == 3
